@@ -218,6 +218,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
 
 def one_of_each(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     """One row for each near-duplicate component of ``docs``: that of the smallest doc_id (of repeated rows, one)."""
-    near = near_duplicates(docs, shingle_words).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = docs.join(near, docs["doc_id"].eqNullSafe(near["_kept_id"]), "left_semi")
-    return kept.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where("_row = 1").drop("_row")
+    names = docs.columns
+    near = near_duplicates(docs, shingle_words).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    work = docs.toDF(*(f"_{i}" for i in range(len(names))))
+    doc_id = F.col(f"_{names.index('doc_id')}")
+    kept = work.join(near, doc_id.eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = kept.withColumn("row", F.row_number().over(Window.partitionBy(doc_id).orderBy(doc_id))).where("row = 1").drop("row")
+    return kept.toDF(*names)
