@@ -1,18 +1,756 @@
-"""All queries of the library by name, with the SQL each is tested against."""
+"""All queries of the library by name, with the DuckDB SQL that each is tested against.
+
+Each query applies one operator (its identifier stands in the comment) to whole driver tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from factweave.functions import dates, jsons, numbers, text
+from factweave.operators import checks as ck
+from factweave.operators import entities as en
+from factweave.operators import facts as ft
+from factweave.operators import lookups as lk
+from factweave.operators import registers as rg
+from factweave.operators import rows as rw
+from factweave.operators import spatial as sp
+from factweave.operators import tasks as tk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+class Tables:
+    """The tables of a folder, read where asked."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+
+def query(sql: str | None = None):
+    def register(function):
+        QUERIES[function.__name__] = lambda spark, sf_dir: function(Tables(spark, sf_dir))
+        if sql:
+            ORACLE_SQL[function.__name__] = sql
+        return function
+
+    return register
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE_SQL)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["entity_assemble"](spark, sf_dir)
+
+
+# ---- facts (R25-R30, W01) ----
+
+EVENT_FACTS = """SELECT '' AS end_date, user_id AS entity, strftime(ts, '%Y-%m-%d') AS entry_date, event_id AS entry_number, sha256(user_id || ':' || event_type || ':' || (props::JSON->>'k')) AS fact,
+    event_type AS field, 1 + event_id % 2 AS priority, NULL::BIGINT AS reference_entity, 'r' || (event_id % 7) AS resource, '' AS start_date, props::JSON->>'k' AS value FROM events"""
+
+
+def event_facts(t: Tables) -> DataFrame:
+    """Events as transformed facts: the user is the entity, the type the field, ``k`` the value."""
+    e = t.events.select(
+        F.lit("").alias("end_date"), F.col("user_id").alias("entity"), F.date_format("ts", "yyyy-MM-dd").alias("entry_date"), F.col("event_id").alias("entry_number"),
+        F.col("event_type").alias("field"), (1 + F.col("event_id") % 2).alias("priority"), F.lit(None).cast("bigint").alias("reference_entity"),
+        F.concat(F.lit("r"), (F.col("event_id") % 7).cast("string")).alias("resource"), F.lit("").alias("start_date"), jsons.value_of("props", "k").alias("value"),
+    )
+    return ft.with_hash(e)
+
+
+@query("""SELECT c_custkey::VARCHAR AS entity, unnest(['account-balance', 'market-segment', 'name', 'nation']) AS field,
+    unnest([c_acctbal::DECIMAL(18,2)::VARCHAR, c_mktsegment, c_name, c_nationkey::VARCHAR]) AS value FROM customer""")
+def pivot_to_facts(t: Tables) -> DataFrame:  # R25
+    row = t.customer.select(F.col("c_custkey").alias("entity"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("market-segment"), F.col("c_acctbal").cast("decimal(18,2)").alias("account-balance"))
+    return ft.pivot_to_facts(row).select("entity", "field", "value")
+
+
+@query("SELECT p_partkey AS entity, sha256(p_partkey || ':brand:' || p_brand) AS fact FROM part")
+def fact_hash(t: Tables) -> DataFrame:  # R27, F16
+    return t.part.select(F.col("p_partkey").alias("entity"), ft.fact_hash(F.col("p_partkey"), F.lit("brand"), F.col("p_brand")).alias("fact"))
+
+
+@query(f"SELECT field, count(*) AS n FROM ({EVENT_FACTS}) WHERE value <> '' OR field = 'end-date' GROUP BY field")
+def fact_prune(t: Tables) -> DataFrame:  # R30
+    return ft.prune(event_facts(t)).groupBy("field").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT end_date, entity, fact, field, entry_date, priority, reference_entity, start_date, value FROM ({EVENT_FACTS}) QUALIFY row_number() OVER (PARTITION BY fact ORDER BY priority, entry_date DESC, entry_number DESC) = 1")
+def fact_dedup(t: Tables) -> DataFrame:  # W01, O04, O06
+    return ft.latest_facts(event_facts(t))
+
+
+@query(f"SELECT end_date, entity, fact, field, entry_date, priority, reference_entity, start_date, value FROM ({EVENT_FACTS}) QUALIFY row_number() OVER (PARTITION BY fact ORDER BY priority::VARCHAR, entry_date DESC, entry_number::VARCHAR DESC) = 1")
+def fact_dedup_text_order(t: Tables) -> DataFrame:  # W01 over files with text columns
+    return ft.latest_facts(event_facts(t), as_text=True)
+
+
+@query(f"SELECT end_date, fact, entry_date, entry_number, priority, resource, start_date FROM ({EVENT_FACTS})")
+def fact_resource(t: Tables) -> DataFrame:
+    return ft.fact_resources(event_facts(t))
+
+
+@query(f"""SELECT entity, field, string_agg(DISTINCT value, ';' ORDER BY value) AS value FROM ({EVENT_FACTS}) WHERE field IN ('click', 'purchase') AND value <> '' GROUP BY entity, field""")
+def fact_combine(t: Tables) -> DataFrame:  # R26, W07
+    done = ft.combine(event_facts(t), {"click": ";", "purchase": ";"})
+    return done.where(F.col("field").isin("click", "purchase")).groupBy("entity", "field").agg(F.max("value").alias("value"))
+
+
+_CURIE = "regexp_full_match(v, '[A-Za-z0-9_-]+:.*', 's')"
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN v = '' THEN NULL WHEN {_CURIE} THEN regexp_extract(v, '^([A-Za-z0-9_-]+):', 1) ELSE 'status' END AS prefix,
+    CASE WHEN v = '' THEN NULL WHEN {_CURIE} THEN substr(v, strpos(v, ':') + 1) ELSE v END AS reference FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'order-status:' || o_orderstatus ELSE o_orderstatus END AS v FROM orders)""")
+def fact_reference(t: Tables) -> DataFrame:  # R28, R29
+    value = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("order-status:"), "o_orderstatus")).otherwise(F.col("o_orderstatus"))
+    f = t.orders.select("o_orderkey", F.lit("status").alias("field"), value.alias("value"))
+    return ft.reference_parts(f, {"status": "category"}, {}).select("o_orderkey", "prefix", "reference")
+
+
+@query(f"SELECT entity, field, arg_max(value, (priority, entry_date, start_date, value)) AS value FROM ({EVENT_FACTS}) GROUP BY entity, field")
+def entity_legacy(t: Tables) -> DataFrame:  # A14
+    return ft.last_values(event_facts(t))
+
+
+@query(f"""WITH f AS ({EVENT_FACTS}) SELECT f.fact, max(s) AS resource_start_date, count(*) AS n FROM f LEFT JOIN (SELECT fact, max(entry_date) AS s FROM f GROUP BY fact) USING (fact) GROUP BY f.fact""")
+def fact_latest_start(t: Tables) -> DataFrame:  # J11
+    f = event_facts(t)
+    done = ft.with_latest_start(f, f.select("fact", F.col("entry_date").alias("start_date")))
+    return done.groupBy("fact").agg(F.max("resource_start_date").alias("resource_start_date"), F.count("*").alias("n"))
+
+
+@query(f"""WITH f AS ({EVENT_FACTS}) SELECT resource, count(DISTINCT entity) AS entity_count FROM f WHERE entity % 3 = 0 GROUP BY resource""")
+def resource_counts(t: Tables) -> DataFrame:  # J12, A08
+    f = event_facts(t)
+    return ft.counts_by_resource(f.select("entity").where("entity % 3 = 0").distinct(), f.select("fact", "entity").distinct(), f)
+
+
+@query("""SELECT o_custkey, arg_max(o_orderkey, (d, held)) AS o_orderkey, max(d) AS entry_date FROM (SELECT *, strftime(o_orderdate, '%Y-%m-%d') || lpad(o_orderkey::VARCHAR, 12, '0') AS d, o_orderkey % 2 AS held FROM orders) GROUP BY o_custkey""")
+def upsert_newest(t: Tables) -> DataFrame:  # O11, O12
+    o = t.orders.select("o_custkey", "o_orderkey", F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("entry_date"))
+    return ft.upsert_newest(o.where("o_orderkey % 2 = 1"), o.where("o_orderkey % 2 = 0"), ["o_custkey"])
+
+
+# ---- entities (W02, W03, A09-A16) ----
+
+RESOURCE_ENDS = "SELECT 'r' || i AS resource, CASE WHEN i % 2 = 0 THEN NULL ELSE '202' || i || '-01-01' END AS \"end-date\" FROM range(6) x(i)"
+EVENT_WINNERS = f"""SELECT entity, field, value, max(priority) OVER (PARTITION BY entity) AS top_priority FROM ({EVENT_FACTS}) f LEFT JOIN ({RESOURCE_ENDS}) r ON f.resource = r.resource
+    QUALIFY row_number() OVER (PARTITION BY entity, field ORDER BY priority DESC, entry_date DESC, entry_number DESC, coalesce("end-date", '2999-12-31') DESC, f.resource, fact) = 1"""
+
+
+def resource_ends(t: Tables) -> DataFrame:
+    i = t.spark.range(6).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("resource"), F.when(F.col("id") % 2 == 1, F.concat(F.lit("202"), F.col("id").cast("string"), F.lit("-01-01"))).alias("end-date"))
+    return i
+
+
+@query(EVENT_WINNERS)
+def entity_winner(t: Tables) -> DataFrame:  # W02, W03, J09
+    return en.winners(event_facts(t), resource_ends(t))
+
+
+@query(f"SELECT entity, CASE max(top_priority) WHEN 1 THEN 'some' WHEN 2 THEN 'authoritative' ELSE 'else' END AS quality FROM ({EVENT_WINNERS}) GROUP BY entity")
+def entity_quality(t: Tables) -> DataFrame:  # A16
+    best = en.winners(event_facts(t), resource_ends(t))
+    return best.groupBy("entity").agg(en.quality(F.max("top_priority")).alias("quality"))
+
+
+def _json_object(fields: list[str]) -> str:
+    parts = " || ".join(f"CASE WHEN \"{f}\" IS NULL THEN '' ELSE ',\"{f}\":\"' || \"{f}\" || '\"' END" for f in fields)
+    return f"nullif('{{' || ltrim({parts}, ',') || '}}', '{{}}')"
+
+
+@query(f"""WITH p AS (SELECT entity, max(top_priority) AS top, max(value) FILTER (field = 'click') AS name, max(value) FILTER (field = 'error') AS error, max(value) FILTER (field = 'purchase') AS purchase,
+    max(value) FILTER (field = 'signup') AS signup, max(value) FILTER (field = 'view') AS "view" FROM ({EVENT_WINNERS.replace("field, value", "field, value")}) GROUP BY entity)
+    SELECT 'event' AS dataset, '' AS end_date, entity, '' AS entry_date, '' AS geojson, '' AS geometry, {_json_object(["error", "purchase", "signup", "view"])} AS json, name, NULL::BIGINT AS organisation_entity, '' AS point, '' AS prefix, '' AS reference, '' AS start_date, 'geography' AS typology,
+    CASE top WHEN 1 THEN 'some' WHEN 2 THEN 'authoritative' ELSE 'else' END AS quality FROM p""")
+def entity_assemble(t: Tables) -> DataFrame:  # A12, A13, F11
+    f = event_facts(t).withColumn("field", F.when(F.col("field") == "click", "name").otherwise(F.col("field")))
+    return en.assemble(f, "event", "geography", ["error", "name", "purchase", "signup", "view"], resources=resource_ends(t), centroids=False)
+
+
+@query("""SELECT c_custkey AS entity, c_name AS name, n_nationkey::BIGINT AS organisation_entity FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey < 20""")
+def entity_organisation(t: Tables) -> DataFrame:  # J10
+    f = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    f = f.select(F.col("c_custkey").alias("entity"), F.explode(F.create_map(F.lit("name"), "c_name", F.lit("organisation"), "n_name")).alias("field", "value"))
+    f = f.withColumns({"priority": F.lit(1), "entry_date": F.lit(""), "entry_number": F.lit(1), "resource": F.lit("r"), "fact": ft.fact_hash(F.col("entity"), F.col("field"), F.col("value"))})
+    org = t.nation.where("n_nationkey < 20").select(F.col("n_name").alias("organisation"), F.col("n_nationkey").alias("entity"))
+    return en.assemble(f, "customer", "", ["name", "organisation"], org, centroids=False).select("entity", "name", "organisation_entity")
+
+
+@query("SELECT event_id AS entity, event_type AS name, props::JSON->>'k' AS k FROM events")
+def flatten_json(t: Tables) -> DataFrame:  # F10, K09
+    e = t.events.select(F.col("event_id").alias("entity"), F.col("event_type").alias("name"), F.col("props").alias("json"))
+    return en.flatten(e, ["k"])
+
+
+@query("SELECT min(c_custkey) AS min_entity, max(c_custkey) AS max_entity FROM customer")
+def entity_bounds(t: Tables) -> DataFrame:  # A09
+    return en.entity_bounds(t.customer.select(F.col("c_custkey").alias("entity")))
+
+
+@query("""WITH a AS (SELECT c_custkey AS entity, c_name AS name, c_mktsegment AS segment FROM customer WHERE c_custkey % 5 <> 0), b AS (SELECT c_custkey AS entity, c_name AS name, CASE WHEN c_custkey % 3 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS segment FROM customer WHERE c_custkey % 7 <> 0),
+    u AS (UNPIVOT a ON name, segment INTO NAME field VALUE v), w AS (UNPIVOT b ON name, segment INTO NAME field VALUE v)
+    SELECT entity, field, u.v AS old_value, w.v AS new_value, entity NOT IN (SELECT entity FROM a) AS new_entity FROM u FULL JOIN w USING (entity, field) WHERE coalesce(u.v, '') <> coalesce(w.v, '')""")
+def entity_diff(t: Tables) -> DataFrame:  # O14
+    c = t.customer.select(F.col("c_custkey").alias("entity"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    new = c.where("entity % 7 <> 0").withColumn("segment", F.when(F.col("entity") % 3 == 0, "CHANGED").otherwise(F.col("segment")))
+    return en.diff(c.where("entity % 5 <> 0"), new)
+
+
+@query("""SELECT c_custkey AS entity, CASE WHEN c_custkey % 3 = 0 THEN 'name;segment' ELSE 'name' END AS fields FROM customer""")
+def changed_fields(t: Tables) -> DataFrame:  # A15
+    c = t.customer.select(F.col("c_custkey").alias("entity"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    new = c.withColumn("segment", F.when(F.col("entity") % 3 == 0, "CHANGED").otherwise(F.col("segment"))).withColumn("name", F.concat("name", F.lit("!")))
+    return en.changed_fields(en.diff(c, new))
+
+
+# ---- values (F01-F08, F25, R01, R02) ----
+
+
+@query("""SELECT doc_id, replace(replace(array_to_string(list_filter(string_split_regex(text, '[\\s\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{0b}]+'), lambda x: x <> ''), ' '), '"', ''), '”', '') AS value FROM documents""")
+def norm_string(t: Tables) -> DataFrame:  # F01
+    return t.documents.select("doc_id", text.normalise_string("text").alias("value"))
+
+
+@query(r"""WITH a AS (SELECT p_partkey, p_name || ';' || chr(10) || p_brand || ' - ' || p_type || ' , ,' AS v FROM part),
+    b AS (SELECT p_partkey, regexp_replace(trim(regexp_replace(replace(replace(v, chr(10), ', '), ';', ','), '\s*,[\s,]*', ', ', 'g'), ', '), '\s*-[\s-]*', '-', 'g') AS v FROM a)
+    SELECT p_partkey, trim(regexp_replace(v, '\s+', ' ', 'g')) AS value FROM b""")
+def norm_address(t: Tables) -> DataFrame:  # F02
+    return t.part.select("p_partkey", text.normalise_address(F.concat("p_name", F.lit(";\n"), "p_brand", F.lit(" - "), "p_type", F.lit(" , ,"))).alias("value"))
+
+
+_INT = "CASE p_partkey % 5 WHEN 0 THEN p_size || '.00' WHEN 1 THEN '-' || p_size WHEN 2 THEN ' 00' || p_size || ' ' WHEN 3 THEN p_name ELSE p_size::VARCHAR END"
+
+
+@query(f"""SELECT p_partkey, CASE WHEN p_partkey % 5 IN (1, 3) THEN '' ELSE p_size::VARCHAR END AS value, CASE p_partkey % 5 WHEN 1 THEN 'too small' WHEN 3 THEN 'invalid integer' END AS issue, CASE WHEN p_partkey % 5 IN (1, 3) THEN {_INT} END AS issue_value FROM part""")
+def norm_integer(t: Tables) -> DataFrame:  # F03
+    return t.part.select("p_partkey", numbers.normalise_integer(F.expr(_INT.replace("::VARCHAR", " || ''"))).alias("r")).select("p_partkey", "r.*")
+
+
+@query("""SELECT o_orderkey, regexp_replace(regexp_replace(printf('%.2f', o_totalprice), '0+$', ''), '\\.$', '') AS value, NULL AS issue FROM orders""")
+def norm_decimal(t: Tables) -> DataFrame:  # F04
+    price = F.concat(F.lit("£"), F.format_number("o_totalprice", 2))
+    return t.orders.select("o_orderkey", numbers.normalise_decimal(price).alias("r")).select("o_orderkey", "r.value", "r.issue")
+
+
+@query("""SELECT c_custkey, regexp_replace(regexp_replace(printf('%.4f', c_acctbal / 100), '0+$', ''), '\\.$', '') AS value FROM customer""")
+def norm_coordinate(t: Tables) -> DataFrame:  # F05
+    v = (F.col("c_acctbal").cast("decimal(18,2)") / 100).cast("decimal(18,4)").cast("string")
+    return t.customer.select("c_custkey", numbers.normalise_coordinate(v)["value"].alias("value"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_returnflag, CASE l_returnflag WHEN 'N' THEN 'no' WHEN 'Y' THEN 'yes' END AS value FROM lineitem""")
+def norm_flag(t: Tables) -> DataFrame:  # F06
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", text.normalise_flag("l_returnflag").alias("value"))
+
+
+@query("SELECT page_id, url AS value FROM pages")
+def norm_url(t: Tables) -> DataFrame:  # F07
+    return t.pages.select("page_id", text.normalise_url(F.concat(F.lit(" "), F.col("url"), F.lit("\n"))).alias("value"))
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS value, NULL AS issue FROM orders""")
+def norm_date_iso(t: Tables) -> DataFrame:  # F08, native path
+    return t.orders.select("o_orderkey", dates.normalise_date(F.date_format("o_orderdate", "yyyy-M-d"), F.lit("2026-01-01").cast("date")).alias("r")).select("o_orderkey", "r.value", "r.issue")
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 6 WHEN 5 THEN '' WHEN 4 THEN strftime(o_orderdate, '%Y-%m-01') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS value, CASE WHEN o_orderkey % 6 = 5 THEN 'invalid date' END AS issue FROM orders""")
+def norm_date_mixed(t: Tables) -> DataFrame:  # F08, other forms
+    d = F.col("o_orderdate")
+    forms = ["dd/MM/yyyy", "yyyy/MM/dd HH:mm:ss", "dd MMMM yyyy", "yyyyMMdd", "MMMM yyyy"]
+    v = F.lit("no date")
+    for i, f in enumerate(forms):
+        v = F.when(F.col("o_orderkey") % 6 == i, F.date_format(d, f)).otherwise(v)
+    return t.orders.select("o_orderkey", dates.normalise_date(v, F.lit("2026-01-01").cast("date")).alias("r")).select("o_orderkey", "r.value", "r.issue")
+
+
+@query("""SELECT event_id, strftime(ts, '%Y-%m-%d') AS value FROM events""")
+def register_date(t: Tables) -> DataFrame:  # F25
+    v = F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(F.col("event_id") % 3 == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format("ts", "dd/MM/yyyy"))
+    return t.events.select("event_id", dates.register_date(v).alias("value"))
+
+
+@query("""SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN '' WHEN 3 THEN '' ELSE s_name END AS value FROM supplier""")
+def row_clean_cells(t: Tables) -> DataFrame:  # R01, R02
+    v = F.element_at(F.array(F.lit(" <null> "), F.lit("#N/A\r"), F.lit("???"), F.lit("\t----"), F.concat(F.lit("\n "), "s_name", F.lit("\f"))), (F.col("s_suppkey") % 5 + 1).cast("int"))
+    return t.supplier.select("s_suppkey", text.clean_cell(v).alias("value"))
+
+
+@query("SELECT page_id, lower(regexp_extract(regexp_replace(url, '/+$', ''), '[^/]*$')) AS basename FROM pages")
+def uri_basename(t: Tables) -> DataFrame:  # F27
+    return t.pages.select("page_id", text.uri_basename("url").alias("basename"))
+
+
+@query("SELECT event_id, props::JSON->>'k' AS k, props::JSON->>'none-such' AS missing, true AS blank FROM events")
+def json_values(t: Tables) -> DataFrame:  # F13, F14
+    return t.events.select("event_id", jsons.value_of("props", "k").alias("k"), jsons.value_of("props", "none-such").alias("missing"), jsons.is_blank("props", "none-such").alias("blank"))
+
+
+# ---- rows (R03-R23) ----
+
+
+@query("SELECT n_nationkey, n_name || ' / ' || n_regionkey AS label FROM nation")
+def row_concat(t: Tables) -> DataFrame:  # R05
+    row = t.nation.select("n_nationkey", F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("region"), F.lit(" ").alias("blank"))
+    return rw.concat_fields(row, {"label": {"fields": ["name", "blank", "region", "absent"], "separator": " / "}}).select("n_nationkey", "label")
+
+
+@query("SELECT p_partkey, p_brand, p_type FROM part WHERE regexp_matches(p_type, '^(?:[A-M])')")
+def row_filter_last(t: Tables) -> DataFrame:  # R06: only the last filtered field decides
+    row = t.part.select(F.col("p_partkey").cast("string"), "p_brand", "p_type")
+    return rw.filter_rows(row, {"p_type": "[A-M]", "p_brand": "nothing like this"}).select(F.col("p_partkey").cast("bigint"), "p_brand", "p_type")
+
+
+@query("SELECT s_suppkey::VARCHAR AS reference, s_name AS name, '' AS notes FROM supplier")
+def row_map(t: Tables) -> DataFrame:  # R07
+    row = t.supplier.select(F.col("s_suppkey").cast("string").alias("S Supp_Key"), F.col("s_name").alias("NAME"), F.lit("x").alias("drop me"), F.lit(None).cast("string").alias("Notes"))
+    bound = rw.bind_headers(row.columns, ["reference", "name", "notes"], {"ssupp-key": "reference", "dropme": "IGNORE"})
+    return rw.map_fields(row, bound)
+
+
+@query(r"""SELECT p_partkey, CASE WHEN regexp_matches(p_brand, '^(?i)brand#1') THEN 'own ' || regexp_extract(p_brand, '^(?i)brand#1(\d*)', 1) ELSE p_brand END AS brand, CASE WHEN regexp_matches(p_brand, '^(?i)brand#1') THEN 'patch' END AS issue FROM part""")
+def row_patch(t: Tables) -> DataFrame:  # R08
+    row = t.part.select("p_partkey", F.col("p_brand").alias("brand"), rw.no_issues().alias("issues"))
+    done = rw.patch(row.withColumn("p_partkey", F.col("p_partkey").cast("string")), {"brand": {r"BRAND#1(\d*)": r"own \1"}})
+    return done.select(F.col("p_partkey").cast("bigint"), "brand", F.get("issues", F.lit(0))["issue_type"].alias("issue"))
+
+
+@query("""SELECT o_orderkey, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Urgent;1-URGENT' WHEN '2' THEN 'High;2-HIGH' ELSE o_orderpriority END AS value, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '1-URGENT' WHEN '2' THEN '2-HIGH' ELSE o_orderpriority END AS bad FROM orders""")
+def row_category(t: Tables) -> DataFrame:  # R09
+    v = F.when(F.col("o_orderpriority").startswith("1"), F.concat(F.lit(" urgent ;; "), "o_orderpriority")).when(F.col("o_orderpriority").startswith("2"), F.concat(F.lit("HIGH;"), "o_orderpriority")).otherwise(F.col("o_orderpriority"))
+    value, bad = rw.category(v, ["Urgent", "High"])
+    return t.orders.select("o_orderkey", value.alias("value"), F.array_join(bad, ";").alias("bad"))
+
+
+@query("""SELECT s_suppkey, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE 'none' END AS notes, CASE WHEN s_suppkey % 2 = 0 THEN 'default-field' ELSE 'default-value' END AS issue FROM supplier""")
+def row_default(t: Tables) -> DataFrame:  # R16
+    row = t.supplier.select("s_suppkey", F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).otherwise("").alias("other"), F.lit("").alias("notes"), rw.no_issues().alias("issues"))
+    done = rw.apply_defaults(row, {"notes": "other"}, {"notes": "none"})
+    return done.select("s_suppkey", "name", "notes", F.get("issues", F.lit(0))["issue_type"].alias("issue"))
+
+
+@query("""SELECT s_suppkey::VARCHAR AS reference, s_name AS name, 'POINT(' || s_nationkey || ' ' || s_suppkey || ')' AS point FROM supplier""")
+def row_migrate(t: Tables) -> DataFrame:  # R17
+    row = t.supplier.select(F.col("s_suppkey").cast("string").alias("SiteReference"), F.col("s_name").alias("name"), F.col("s_nationkey").cast("string").alias("GeoX"), F.col("s_suppkey").cast("string").alias("GeoY"))
+    return rw.migrate(row, ["reference", "name", "absent"], {"reference": "SiteReference"})
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'other' ELSE 'supplier' END AS prefix, s_suppkey::VARCHAR AS reference FROM supplier")
+def row_reference(t: Tables) -> DataFrame:  # R21, R22, R28
+    ref = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("other:"), F.col("s_suppkey").cast("string"))).otherwise(F.col("s_suppkey").cast("string"))
+    row = t.supplier.select("s_suppkey", ref.alias("supplier"), F.lit("").alias("reference"))
+    return rw.entry_reference(row, "supplier", "supplier").select("s_suppkey", "prefix", "reference")
+
+
+@query("SELECT s_suppkey, CASE WHEN s_nationkey % 2 = 0 THEN n_name ELSE '' END AS organisation, CASE WHEN s_nationkey % 2 <> 0 THEN 'invalid organisation' END AS issue FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def row_organisation(t: Tables) -> DataFrame:  # R18, R19
+    org = t.nation.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("organisation"), F.concat(F.lit("The Land of "), "n_name").alias("name"))
+    row = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("the land of "), "n_name")).otherwise(F.col("n_name")).alias("organisation"), rw.no_issues().alias("issues"))
+    done = rw.resolve_organisation(row, rw.organisation_aliases(org))
+    return done.select("s_suppkey", "organisation", F.get("issues", F.lit(0))["issue_type"].alias("issue"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE (l_returnflag = 'R' AND l_linestatus <> 'O') OR l_linenumber IN (6, 7)""")
+def row_condition(t: Tables) -> DataFrame:  # R31
+    spec = [{"l_returnflag": "R", "l_linestatus": {"op": "!=", "value": "O"}}, {"l_linenumber": {"op": "in", "value": [6, 7]}}]
+    return t.lineitem.where(rw.condition(spec)).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("""SELECT resource, line_number, entry_number, a, b FROM (SELECT 'r' || (n_nationkey % 3) AS resource, n_nationkey + 1 AS line_number, row_number() OVER (PARTITION BY n_nationkey % 3 ORDER BY n_nationkey) - 1 AS entry_number, n_name AS a, n_regionkey::VARCHAR AS b FROM nation) WHERE entry_number > 0""")
+def row_parse(t: Tables) -> DataFrame:  # R03, R04
+    lines = t.nation.select(F.concat(F.lit("r"), (F.col("n_nationkey") % 3).cast("string")).alias("resource"), (F.col("n_nationkey") + 1).alias("line_number"), F.when(F.col("n_nationkey") < 3, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array("n_name", F.col("n_regionkey").cast("string"))).alias("line"))
+    rows = rw.parse_lines(rw.normalise_lines(lines, ["skip this"]))
+    return rw.map_to_columns(rows, ["a", "b"])
+
+
+# ---- lookups (J01-J08, J13-J17, R24) ----
+
+
+def _supplier_rows(t: Tables) -> DataFrame:
+    return t.supplier.select(
+        F.lit("r").alias("resource"), F.col("s_suppkey").alias("entry_number"), F.lit("Supplier").alias("prefix"), F.concat(F.lit("S/"), F.col("s_suppkey").cast("string")).alias("reference"),
+        F.concat(F.lit("nation:"), F.col("s_nationkey").cast("string")).alias("organisation"), rw.no_issues().alias("issues"),
+    )
+
+
+def _supplier_lookups(t: Tables) -> DataFrame:
+    k = F.col("s_suppkey")
+    entity = F.when(k % 4 == 0, 1000 + k).when(k % 4 == 1, 2000 + k).when(k % 4 == 2, 3000 + k)
+    rows = t.supplier.where(k % 4 < 3).select(
+        F.when(k % 4 == 2, k.cast("string")).otherwise("").alias("entry-number"), F.lit("supplier").alias("prefix"), F.when(k % 4 == 2, "").otherwise(F.concat(F.lit("s"), k.cast("string"))).alias("reference"),
+        F.when(k % 4 == 0, F.concat(F.lit("nation:"), F.col("s_nationkey").cast("string"))).otherwise("").alias("organisation"), entity.cast("string").alias("entity"),
+    )
+    return rows
+
+
+@query("""SELECT s_suppkey AS entry_number, CASE s_suppkey % 4 WHEN 0 THEN (1000 + s_suppkey)::VARCHAR WHEN 1 THEN (2000 + s_suppkey)::VARCHAR WHEN 2 THEN (3000 + s_suppkey)::VARCHAR END AS entity, CASE WHEN s_suppkey % 4 = 3 THEN 'unknown entity' END AS issue FROM supplier""")
+def lookup_entity(t: Tables) -> DataFrame:  # J01
+    done = lk.resolve_entities(_supplier_rows(t), _supplier_lookups(t))
+    return done.select("entry_number", F.nullif("entity", F.lit("")).alias("entity"), F.get("issues", F.lit(0))["issue_type"].alias("issue"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey + 100 BETWEEN 200 AND 900 THEN (p_partkey + 100)::VARCHAR WHEN p_partkey + 5000 BETWEEN 6000 AND 6500 AND p_brand = 'Brand#11' THEN (p_partkey + 5000)::VARCHAR END AS entity FROM part""")
+def lookup_rule(t: Tables) -> DataFrame:  # J02
+    rules = [{"prefix": "part", "offset": 100, "entity-minimum": 200, "entity-maximum": 900}, {"prefix": "Part", "organisation": "brand11", "offset": 5000, "entity-minimum": 6000, "entity-maximum": 6500}]
+    return t.part.select("p_partkey", lk.by_rule(F.lit("part"), F.col("p_brand"), F.col("p_partkey").cast("string"), rules).alias("entity"))
+
+
+@query("""SELECT entry_number, entity, organisation FROM (SELECT s_suppkey AS entry_number, (1000 + s_suppkey)::VARCHAR AS entity, 'nation:' || s_nationkey AS organisation, 1 AS k FROM supplier WHERE s_suppkey % 4 = 0 AND s_nationkey IN (1, 2, 3)
+    UNION ALL SELECT s_suppkey, (2000 + s_suppkey)::VARCHAR, 'nation:1', 1 FROM supplier WHERE s_suppkey % 4 = 1 UNION ALL SELECT s_suppkey, (3000 + s_suppkey)::VARCHAR, 'nation:1', 1 FROM supplier WHERE s_suppkey % 4 = 2
+    UNION ALL SELECT s_suppkey, '', '', 1 FROM supplier WHERE s_suppkey % 4 = 3 OR (s_suppkey % 4 = 0 AND s_nationkey NOT IN (1, 2, 3)))""")
+def lookup_fan_out(t: Tables) -> DataFrame:  # J03
+    done = lk.resolve_for_providers(_supplier_rows(t).withColumn("organisation", F.lit("")).withColumn("entity", F.lit("")), _supplier_lookups(t), ["nation:1", "nation:2", "nation:3"])
+    return done.select("entry_number", "entity", "organisation")
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 10 WHEN 0 THEN '9' WHEN 1 THEN '' ELSE c_custkey::VARCHAR END AS entity FROM customer""")
+def lookup_redirect(t: Tables) -> DataFrame:  # J04
+    old = t.customer.where("c_custkey % 10 < 2").select(F.col("c_custkey").cast("string").alias("old-entity"), F.when(F.col("c_custkey") % 10 == 0, "301").otherwise("410").alias("status"), F.lit("9").alias("entity"))
+    return lk.redirect(t.customer.select("c_custkey", F.col("c_custkey").cast("string").alias("entity")), old)
+
+
+@query("""SELECT c_custkey, n_name AS owner FROM customer LEFT JOIN nation ON c_custkey BETWEEN n_nationkey * 100 AND n_nationkey * 100 + 49""")
+def range_join(t: Tables) -> DataFrame:  # J05
+    ranges = t.nation.select((F.col("n_nationkey") * 100).alias("low"), (F.col("n_nationkey") * 100 + 49).alias("high"), F.col("n_name").alias("owner"))
+    done = lk.range_owner(t.customer.select("c_custkey"), ranges, "c_custkey", "low", "high", bin_size=64)
+    return done.select("c_custkey", F.col("matched_owner").alias("owner"))
+
+
+@query("""SELECT c_custkey, CASE WHEN n_nationkey IN (1, 3) THEN 2 ELSE 1 END AS priority, CASE WHEN n_name IS NULL OR n_nationkey IN (1, 3) THEN 'own' ELSE n_name END AS organisation FROM customer LEFT JOIN nation ON c_custkey BETWEEN n_nationkey * 100 AND n_nationkey * 100 + 49""")
+def row_priority(t: Tables) -> DataFrame:  # R24
+    ranges = t.nation.select((F.col("n_nationkey") * 100).alias("entity-minimum"), (F.col("n_nationkey") * 100 + 49).alias("entity-maximum"), F.col("n_name").alias("organisation"))
+    names = [r[0] for r in t.nation.where("n_nationkey in (1, 3)").select("n_name").collect()]
+    done = lk.prioritise(t.customer.select("c_custkey", F.col("c_custkey").alias("entity"), F.lit("own").alias("organisation")), ranges, names)
+    return done.select("c_custkey", "priority", "organisation")
+
+
+@query("""SELECT o_orderkey, CASE WHEN c % 3 = 0 THEN (c + 100000)::VARCHAR WHEN c % 3 = 1 AND c % 2 = 0 THEN (c + 200000)::VARCHAR END AS reference_entity FROM (SELECT o_orderkey, o_custkey AS c FROM orders)""")
+def lookup_reference(t: Tables) -> DataFrame:  # J06, J07
+    c = F.col("c_custkey")
+    lookups = t.customer.select(
+        F.lit("").alias("entry-number"), F.lit("customer").alias("prefix"), c.cast("string").alias("reference"), F.when(c % 3 == 0, "shop:1").when((c % 3 == 1) & (c % 2 == 1), "local-authority:X").otherwise("").alias("organisation"),
+        F.when(c % 3 == 0, c + 100000).otherwise(c + 200000).cast("string").alias("entity"),
+    )
+    lookups = lookups.where("reference % 3 <> 2")
+    # an owned entity is not used without its organisation
+    lookups = lookups.unionByName(lookups.where("organisation = 'local-authority:X'").withColumn("organisation", F.lit("")))
+    facts = t.orders.select("o_orderkey", F.lit("1").alias("entity"), F.lit("customer").alias("prefix"), F.col("o_custkey").cast("string").alias("reference"), F.lit("shop:1").alias("organisation"), rw.no_issues().alias("issues"))
+    old = t.spark.createDataFrame([("1", "410", "")], "`old-entity` string, status string, entity string")
+    return lk.resolve_references(facts, lookups, old).select("o_orderkey", "reference_entity")
+
+
+@query("""SELECT 'supplier' AS prefix, 'nation:' || s_nationkey AS organisation, 'S/' || s_suppkey AS reference FROM supplier WHERE s_suppkey % 4 = 3""")
+def lookup_new(t: Tables) -> DataFrame:  # J08
+    return lk.new_lookups(_supplier_rows(t), _supplier_lookups(t)).withColumn("prefix", F.lower("prefix"))
+
+
+@query("SELECT count(*) AS n, count(DISTINCT entity) AS entities FROM (SELECT CASE s_suppkey % 4 WHEN 0 THEN 1000 WHEN 1 THEN 2000 ELSE 3000 END + s_suppkey AS entity FROM supplier WHERE s_suppkey % 4 < 3)")
+def lookup_keys(t: Tables) -> DataFrame:  # J07
+    return lk.keys_by_entity(_supplier_lookups(t)).agg(F.sum(F.size("keys")).alias("n"), F.count_distinct("entity").alias("entities"))
+
+
+# ---- checks (Q01-Q32) ----
+
+
+@query("SELECT count(*) AS actual, 10::BIGINT AS expected, count(*) > 10 AS passed FROM orders")
+def check_count_rows(t: Tables) -> DataFrame:  # Q01, A03
+    return ck.row_count(t.orders, 10)
+
+
+@query("SELECT l_orderkey::VARCHAR AS value, count(*) AS count FROM lineitem GROUP BY 1 HAVING count(*) > 1")
+def check_unique(t: Tables) -> DataFrame:  # Q02, A04
+    return ck.duplicates(t.lineitem.select(F.col("l_orderkey").cast("string").alias("k")), "k")
+
+
+@query("SELECT DISTINCT l_partkey::VARCHAR AS value FROM lineitem WHERE l_partkey IN (SELECT l_suppkey FROM lineitem)")
+def check_shared_values(t: Tables) -> DataFrame:  # Q03, J14
+    return ck.shared_values(t.lineitem.select(F.col("l_partkey").cast("string").alias("a"), F.col("l_suppkey").cast("string").alias("b")), "a", "b")
+
+
+_RANGES = "SELECT p_partkey * 10 AS low, p_partkey * 10 + p_size AS high FROM part WHERE p_partkey % 3 = 0"
+
+
+@query(f"WITH r AS ({_RANGES}) SELECT a.low AS min_a, a.high AS max_a, b.low AS min_b, b.high AS max_b FROM r a JOIN r b ON a.low < b.low AND a.high >= b.low")
+def check_overlapping_ranges(t: Tables) -> DataFrame:  # Q04, J15
+    r = t.part.where("p_partkey % 3 = 0").select((F.col("p_partkey") * 10).alias("low"), (F.col("p_partkey") * 10 + F.col("p_size")).alias("high"))
+    return ck.overlapping_ranges(r, "low", "high")
+
+
+@query("SELECT row_number() OVER (ORDER BY o_orderkey) + 1 AS line_number, o_orderstatus AS value FROM orders WHERE o_orderstatus NOT IN ('O', 'F')")
+def check_allowed_values(t: Tables) -> DataFrame:  # Q05, W05
+    return ck.not_allowed(t.orders.select(F.col("o_orderkey").alias("line_number"), "o_orderstatus"), "o_orderstatus", ["O", "F"])
+
+
+@query("SELECT n_nationkey::BIGINT AS line_number FROM nation WHERE n_nationkey % 4 = 0")
+def check_blank_rows(t: Tables) -> DataFrame:  # Q06
+    return ck.blank_rows(t.nation.select(F.col("n_nationkey").cast("bigint").alias("line_number"), F.when(F.col("n_nationkey") % 4 == 0, " ").otherwise(F.col("n_name")).alias("a"), F.lit(None).cast("string").alias("b")))
+
+
+_BOUNDS = "SELECT n_nationkey * 1000 AS low, n_nationkey * 1000 + 400 AS high, n_regionkey::VARCHAR AS dataset, 'o' || (n_nationkey % 2) AS organisation FROM nation"
+
+
+def _bounds(t: Tables) -> DataFrame:
+    n = F.col("n_nationkey")
+    return t.nation.select((n * 1000).alias("low"), (n * 1000 + 400).alias("high"), F.col("n_regionkey").cast("string").alias("dataset"), F.concat(F.lit("o"), (n % 2).cast("string")).alias("organisation"))
+
+
+@query(f"WITH r AS ({_BOUNDS}), v AS (SELECT o_orderkey AS line_number, 'o_orderkey' AS field, o_orderkey AS value FROM orders UNION ALL SELECT o_orderkey, 'o_custkey', o_custkey FROM orders) SELECT v.* FROM v WHERE NOT EXISTS (SELECT 1 FROM r WHERE v.value BETWEEN low AND high)")
+def check_within_range(t: Tables) -> DataFrame:  # Q07, J16
+    return ck.outside_ranges(t.orders.withColumn("line_number", F.col("o_orderkey")), _bounds(t), "low", "high", "o_orderkey,o_custkey")
+
+
+@query(f"""WITH r AS ({_BOUNDS}), v AS (SELECT c_custkey AS line_number, c_custkey AS value, (c_nationkey % 5)::VARCHAR AS dataset, 'o' || (c_custkey % 2) AS organisation FROM customer), m AS (SELECT * FROM (VALUES ('1', '2'), ('1', '3')) x(d, a))
+    SELECT v.* FROM v WHERE NOT EXISTS (SELECT 1 FROM r WHERE v.value BETWEEN low AND high AND v.organisation = r.organisation AND (r.dataset IN (SELECT a FROM m WHERE d = v.dataset) OR (v.dataset NOT IN (SELECT d FROM m) AND v.dataset = r.dataset)))""")
+def check_within_owned_range(t: Tables) -> DataFrame:  # Q08, J17
+    rows = t.customer.select(F.col("c_custkey").alias("line_number"), F.col("c_custkey").alias("n"), (F.col("c_nationkey") % 5).cast("string").alias("dataset"), F.concat(F.lit("o"), (F.col("c_custkey") % 2).cast("string")).alias("organisation"))
+    return ck.outside_owned_ranges(rows, _bounds(t), "low", "high", "n", "dataset", "dataset", {"1": ["2", "3"]})
+
+
+_TYPED = """SELECT c_custkey AS line_number, CASE c_custkey % 6 WHEN 0 THEN '1.5' WHEN 1 THEN '7' WHEN 2 THEN 'x' WHEN 3 THEN '1e3' WHEN 4 THEN '' ELSE '-12' END AS integer, CASE c_custkey % 5 WHEN 0 THEN '91' WHEN 1 THEN '-90' WHEN 2 THEN 'n' ELSE '12.5' END AS latitude,
+    CASE c_custkey % 4 WHEN 0 THEN 'yes' WHEN 1 THEN 'TRUE' WHEN 2 THEN 'maybe' ELSE '' END AS flag, CASE c_custkey % 4 WHEN 0 THEN 'a-b:c' WHEN 1 THEN 'A:c' WHEN 2 THEN 'a:b c' ELSE '' END AS curie, CASE c_custkey % 3 WHEN 0 THEN '{"a": 1}' WHEN 1 THEN '{a' ELSE '[]' END AS json,
+    CASE c_custkey % 4 WHEN 0 THEN '2020-02-30' WHEN 1 THEN '2020-02-28' WHEN 2 THEN '2020/02/01' ELSE '2020' END AS date, CASE c_custkey % 3 WHEN 0 THEN 'sha:00ff' WHEN 1 THEN 'zz' ELSE 'AB' END AS hash, CASE c_custkey % 3 WHEN 0 THEN 'http://a.b/c?d' WHEN 1 THEN 'a.b' ELSE 'x://y:8' END AS url FROM customer"""
+
+
+def _typed(t: Tables) -> DataFrame:
+    k = F.col("c_custkey")
+
+    def pick(n, *values):
+        return F.element_at(F.array(*map(F.lit, values)), (k % n + 1).cast("int"))
+
+    return t.customer.select(
+        k.alias("line_number"), pick(6, "1.5", "7", "x", "1e3", "", "-12").alias("integer"), pick(5, "91", "-90", "n", "12.5", "12.5").alias("latitude"), pick(4, "yes", "TRUE", "maybe", "").alias("flag"), pick(4, "a-b:c", "A:c", "a:b c", "").alias("curie"),
+        pick(3, '{"a": 1}', "{a", "[]").alias("json"), pick(4, "2020-02-30", "2020-02-28", "2020/02/01", "2020").alias("date"), pick(3, "sha:00ff", "zz", "AB").alias("hash"), pick(3, "http://a.b/c?d", "a.b", "x://y:8").alias("url"),
+    )
+
+
+_TYPED_BAD = {
+    "integer": "try_cast(v AS DOUBLE) IS NULL OR try_cast(v AS DOUBLE) <> try_cast(try_cast(v AS DOUBLE) AS BIGINT)", "latitude": "try_cast(v AS DOUBLE) IS NULL OR try_cast(v AS DOUBLE) NOT BETWEEN -90 AND 90", "flag": "lower(v) NOT IN ('yes', 'no', 'true', 'false')",
+    "curie": "NOT regexp_matches(v, '^[a-z0-9-]+:[^\\s:][^\\s]*$')", "json": "NOT json_valid(v)", "date": "try_cast(v AS DATE) IS NULL", "hash": "NOT regexp_matches(v, '^([a-z]+:)?[0-9a-fA-F]+$')",
+    "url": "NOT regexp_matches(v, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^\\s/:?#]+(?::[0-9]+)?(?:[/?#][^\\s]*)?$')",
+}
+
+
+@query(" UNION ALL ".join(f"SELECT line_number, '{c}' AS field, '{c}' AS datatype, v AS value FROM (SELECT line_number, {c} AS v FROM ({_TYPED})) WHERE v <> '' AND ({bad})" for c, bad in _TYPED_BAD.items()))
+def check_typed_columns(t: Tables) -> DataFrame:  # Q09-Q19
+    return ck.typed_failures(_typed(t), {c: c for c in _TYPED_BAD})
+
+
+@query("SELECT " + ", ".join(f"count(*) FILTER (WHERE {c} <> '' AND ({bad.replace('(v', '(' + c).replace('v AS', c + ' AS') if c != 'x' else bad})) AS {c}" for c, bad in {"hash": "NOT regexp_matches(v, '^([a-z]+:)?[0-9a-fA-F]+$')", "flag": "lower(v) NOT IN ('yes', 'no', 'true', 'false')"}.items()) + f" FROM ({_TYPED})")
+def check_summary(t: Tables) -> DataFrame:  # Q35: many rules in one scan
+    return ck.summary(_typed(t), {"hash": "hash", "flag": "flag"})
+
+
+@query("SELECT o_orderkey AS line_number, strftime(o_orderdate, '%Y-%m-%d') AS value FROM orders WHERE o_orderkey % 2 = 1 AND NOT regexp_matches(strftime(o_orderdate, '%Y-%m-%d'), '-0[1-6]-')")
+def check_pattern(t: Tables) -> DataFrame:  # Q22
+    rows = t.orders.where("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("line_number"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))
+    return ck.not_matching(rows, "d", "-0[1-6]-")
+
+
+@query("SELECT p_partkey AS line_number, 'brand' AS field, 'decimal' AS datatype, p_brand AS value FROM part UNION ALL SELECT p_partkey, 'p', 'pattern', '(' FROM part WHERE p_partkey % 2 = 0")
+def check_udf_types(t: Tables) -> DataFrame:  # Q10, Q21
+    rows = t.part.select(F.col("p_partkey").alias("line_number"), F.col("p_brand").alias("brand"), F.when(F.col("p_partkey") % 2 == 0, "(").otherwise("a+").alias("p"))
+    return ck.typed_failures(rows, {"brand": "decimal", "p": "pattern"})
+
+
+@query("SELECT DISTINCT c_custkey AS entity FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+def check_old_entities(t: Tables) -> DataFrame:  # Q30, J13
+    return ck.old_entities_present(t.customer.select(F.col("c_custkey").alias("entity")), t.orders.select(F.col("o_custkey").alias("old_entity")))
+
+
+@query("SELECT event_id AS entity FROM events WHERE coalesce(trim(CASE WHEN event_id % 3 = 0 THEN '' ELSE props::JSON->>'k' END), '') = ''")
+def check_json_field(t: Tables) -> DataFrame:  # Q31
+    e = t.events.select(F.col("event_id").alias("entity"), F.when(F.col("event_id") % 3 == 0, '{"k-k": " "}').otherwise(F.concat(F.lit('{"k-k": 1}'))).alias("json"))
+    return ck.blank_json_fields(e, "k-k")
+
+
+@query("""WITH r AS (SELECT o_orderkey AS entry_number, o_orderstatus || (o_custkey % 50) AS value, strftime(o_orderdate, '%Y-%m') AS entry_date, (o_custkey % 7)::VARCHAR AS entity FROM orders)
+    SELECT entity, 'reference' AS field, value, entry_number, entry_number + 1 AS line_number FROM r QUALIFY count(*) OVER (PARTITION BY value, entry_date, entity) > 1""")
+def check_duplicate_references(t: Tables) -> DataFrame:  # Q32, A02
+    f = t.orders.select(F.col("o_orderkey").alias("entry_number"), F.lit("reference").alias("field"), F.concat("o_orderstatus", (F.col("o_custkey") % 50).cast("string")).alias("value"), F.date_format("o_orderdate", "yyyy-MM").alias("entry_date"), (F.col("o_custkey") % 7).cast("string").alias("entity"))
+    return ck.duplicate_references(f)
+
+
+@query("""SELECT c_custkey AS entity, c_custkey::VARCHAR AS reference, d::DATE AS event_date, 'phone' AS missing FROM customer JOIN (SELECT o_custkey, min(o_orderdate) AS d FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < DATE '1996-01-01' GROUP BY 1) ON o_custkey = c_custkey""")
+def check_plan_event(t: Tables) -> DataFrame:  # Q29, J18
+    rows = t.customer.select(F.col("c_custkey").alias("entity"), F.col("c_custkey").cast("string").alias("reference"), F.col("c_name").alias("name"), F.lit("{}").alias("json"))
+    table = t.orders.select(F.to_json(F.struct(F.col("o_custkey").cast("string").alias("plan"), F.col("o_orderstatus").alias("plan-event"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("event-date"))).alias("json"))
+    return ck.required_after_event(rows, table, "F", ["name", "phone"], F.lit("1996-01-01").cast("date"))
+
+
+@query("""WITH f AS (SELECT l_orderkey AS fact, l_suppkey AS entity, 'r' || (l_partkey % 40) AS resource FROM lineitem) SELECT s_suppkey::VARCHAR AS reference, s_suppkey AS entity, s_name AS name FROM supplier WHERE s_nationkey < 12 AND s_suppkey NOT IN (SELECT entity FROM f WHERE fact IN (SELECT fact FROM f WHERE resource IN ('r1', 'r2')))""")
+def check_deleted_entities(t: Tables) -> DataFrame:  # Q26, J21
+    f = t.lineitem.select(F.col("l_orderkey").alias("fact"), F.col("l_suppkey").alias("entity"), F.concat(F.lit("r"), (F.col("l_partkey") % 40).cast("string")).alias("resource"))
+    entities = t.supplier.select(F.col("s_suppkey").alias("entity"), F.col("s_suppkey").cast("string").alias("reference"), F.col("s_name").alias("name"), F.when(F.col("s_nationkey") < 12, 1).otherwise(2).alias("organisation_entity"))
+    return ck.deleted_entities(entities, f, f, t.spark.createDataFrame([("r1",), ("r2",)], "resource string"), 1)
+
+
+# ---- registers (A07, A10, A11, C02-C12) ----
+
+_LOG = "SELECT 'r' || (event_id % 300) AS resource, 'e' || (event_id % 60) AS endpoint, strftime(ts, '%Y-%m-%d') AS day, event_id FROM events"
+
+
+def _log(t: Tables) -> DataFrame:
+    i = F.col("event_id")
+    return t.events.select(F.concat(F.lit("r"), (i % 300).cast("string")).alias("resource"), F.concat(F.lit("e"), (i % 60).cast("string")).alias("endpoint"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("entry-date"), F.lit("10").alias("bytes"))
+
+
+def _sources(t: Tables) -> DataFrame:
+    i = F.col("id")
+    s = t.spark.range(120)
+    return s.select(F.concat(F.lit("e"), (i % 60).cast("string")).alias("endpoint"), F.concat(F.lit("o"), (i % 11).cast("string")).alias("organisation"), F.concat(F.lit("d"), (i % 4).cast("string"), F.lit(";d9")).alias("pipelines"), F.lit("").alias("end-date"))
+
+
+@query(f"""WITH l AS ({_LOG}), s AS (SELECT 'e' || (i % 60) AS endpoint, 'o' || (i % 11) AS organisation, unnest(['d' || (i % 4), 'd9']) AS dataset FROM range(120) x(i))
+    SELECT resource, '10' AS bytes, string_agg(DISTINCT organisation, ';' ORDER BY organisation) AS organisations, string_agg(DISTINCT dataset, ';' ORDER BY dataset) AS datasets, string_agg(DISTINCT endpoint, ';' ORDER BY endpoint) AS endpoints,
+    min(day) AS "start-date", CASE WHEN max(day) >= '2026-11-26' THEN '' ELSE max(day) END AS "end-date" FROM l JOIN s USING (endpoint) GROUP BY resource""")
+def register_resources(t: Tables) -> DataFrame:  # A07, C02
+    return rg.resource_rollup(_log(t), _sources(t), "2026-11-26")
+
+
+@query(f"WITH l AS ({_LOG}) SELECT DISTINCT 'd' || d AS dataset, resource FROM (SELECT DISTINCT resource, endpoint FROM l) JOIN (SELECT 'e' || (i % 60) AS endpoint, unnest([i % 4, 9]) AS d FROM range(120) x(i)) USING (endpoint)")
+def register_dataset_resources(t: Tables) -> DataFrame:  # C05
+    return rg.dataset_resources(rg.resource_rollup(_log(t), _sources(t), "2026-11-26"), _sources(t), "2026-11-26")
+
+
+@query(f"WITH l AS ({_LOG}), m AS (SELECT DISTINCT 'd' || (event_id % 4) AS dataset, resource FROM l) SELECT dataset, count(*) AS transform_count, string_agg(resource, ';' ORDER BY resource) AS resources FROM m WHERE substr(resource, 2)::INT % 5 <> 0 GROUP BY dataset")
+def register_transform_counts(t: Tables) -> DataFrame:  # A11, C06
+    m = _log(t).withColumn("dataset", F.concat(F.lit("d"), (F.substring("resource", 2, 9).cast("int") % 4).cast("string"))).select("dataset", "resource").distinct()
+    old = m.select("resource").distinct().where("cast(substring(resource, 2) as int) % 5 = 0").select(F.col("resource").alias("old-resource"), F.lit("410").alias("status"), F.lit("").alias("resource"))
+    return rg.transform_counts(m, old)
+
+
+@query("SELECT 'd' AS dataset, o_orderkey::VARCHAR AS resource FROM orders WHERE o_orderkey % 10 < 7")
+def register_needs_processing(t: Tables) -> DataFrame:  # C07
+    m = t.orders.select(F.lit("d").alias("dataset"), F.col("o_orderkey").cast("string").alias("resource"))
+    done = t.orders.where("o_orderkey % 10 >= 5").select(F.lit("d").alias("dataset"), F.col("o_orderkey").cast("string").alias("resource"), F.when(F.col("o_orderkey") % 10 >= 7, "v2").otherwise("v1").alias("code_version"), F.lit("c").alias("config_hash"), F.lit("s").alias("specification_hash"))
+    return rg.needs_processing(m, done, "v2", "c", "s")
+
+
+@query("SELECT s_suppkey, md5('col|' || s_name || '|' || sha256(s_name)) AS source, sha256(s_name) AS endpoint FROM supplier")
+def register_keys(t: Tables) -> DataFrame:  # F16, C03
+    key = rg.endpoint_key(F.col("s_name"))
+    return t.supplier.select("s_suppkey", rg.source_key(F.lit("col"), F.col("s_name"), key).alias("source"), key.alias("endpoint"))
+
+
+@query("SELECT max(c_custkey) AS max_entity FROM customer WHERE c_mktsegment = 'BUILDING'")
+def register_max_entity(t: Tables) -> DataFrame:  # A10
+    return rg.max_entity(t.customer.select(F.col("c_mktsegment").alias("prefix"), F.col("c_custkey").cast("string").alias("entity")), "BUILDING")
+
+
+@query("SELECT row_number() OVER (ORDER BY k) - 1 AS position, i AS entity FROM (SELECT i, CASE WHEN i >= 150 THEN i - 150 ELSE i + 1000 END AS k FROM range(1, 400) x(i) WHERE i NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)) ORDER BY k LIMIT 100")
+def register_free_entities(t: Tables) -> DataFrame:  # C09
+    return rg.free_entities(t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("entity")), 1, 399, 150, 100)
+
+
+@query("""SELECT c_nationkey::VARCHAR AS curie, coalesce(arg_max(a, c_custkey) FILTER (a <> ''), '') AS a, coalesce(arg_max(b, c_custkey) FILTER (b <> ''), '') AS b FROM (SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END AS a, c_mktsegment AS b FROM customer) GROUP BY 1""")
+def register_merge_curie(t: Tables) -> DataFrame:  # S31, C14
+    rows = t.customer.select(F.col("c_nationkey").cast("string").alias("curie"), "c_custkey", F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_name")).alias("a"), F.col("c_mktsegment").alias("b"))
+    return rg.merged_by_curie(rows, "curie", "c_custkey")
+
+
+@query("SELECT c_nationkey, arg_max(c_name, c_custkey) AS c_name, max(c_custkey) AS c_custkey FROM customer GROUP BY 1")
+def register_latest(t: Tables) -> DataFrame:  # C17
+    return rg.latest(t.customer.select("c_nationkey", "c_name", "c_custkey"), "c_nationkey", "c_custkey")
+
+
+# ---- tasks and issues (L05, A05, A06, J22) ----
+
+_STATUS = "CASE event_type WHEN 'error' THEN '404' WHEN 'view' THEN 'timeout' WHEN 'signup' THEN NULL ELSE '200' END"
+
+
+def _details(spec: str) -> str:
+    return f"substr(sha256('d|' || endpoint || '|' || resource || '|log|' || {spec}), 1, 16)"
+
+
+@query(f"""WITH l AS (SELECT 'e' || (event_id % 9) AS endpoint, 'r' || event_id AS resource, {_STATUS} AS status FROM events), f AS (SELECT *, '{{"status": ' || CASE WHEN status = '404' THEN '404' ELSE '"' || status || '"' END || ', "exception": "x\\u00e9\\""}}' AS details FROM l WHERE status <> '200')
+    SELECT 'd' AS dataset, 'o' AS organisation, endpoint, resource, details, 'error' AS severity, 'external' AS responsibility, 'log' AS "task-source", '2026-01-01' AS "entry-date", {_details("details")} AS reference FROM f""")
+def task_log(t: Tables) -> DataFrame:  # L05
+    status = F.when(F.col("event_type") == "error", "404").when(F.col("event_type") == "view", "timeout").when(F.col("event_type") != "signup", "200")
+    log = t.events.select(F.concat(F.lit("e"), (F.col("event_id") % 9).cast("string")).alias("endpoint"), F.concat(F.lit("r"), F.col("event_id").cast("string")).alias("resource"), status.alias("status"), F.lit('xé"').alias("exception"))
+    return tk.log_tasks(log, "d", "o", "2026-01-01")
+
+
+_ISSUES = "SELECT l_returnflag AS \"issue-type\", 'r' || (l_orderkey % 20) AS resource, 'f' || l_linenumber AS field, 'd' AS dataset, CASE WHEN l_returnflag = 'N' THEN 'info' ELSE 'error' END AS severity FROM lineitem"
+
+
+def _issues(t: Tables) -> DataFrame:
+    return t.lineitem.select(F.col("l_returnflag").alias("issue-type"), F.concat(F.lit("r"), (F.col("l_orderkey") % 20).cast("string")).alias("resource"), F.concat(F.lit("f"), F.col("l_linenumber").cast("string")).alias("field"), F.lit("d").alias("dataset"), F.when(F.col("l_returnflag") == "N", "info").otherwise("error").alias("severity"), F.lit("external").alias("responsibility"))
+
+
+@query(f"""WITH g AS (SELECT "issue-type" AS t, resource, field, dataset, count(*) AS n FROM ({_ISSUES}) WHERE severity = 'error' GROUP BY ALL), d AS (SELECT *, '{{"issue_type": "' || t || '", "count": ' || n || ', "field": "' || field || '"}}' AS details FROM g)
+    SELECT dataset, 'o' AS organisation, 'e' AS endpoint, resource, details, 'error' AS severity, 'external' AS responsibility, 'issue' AS "task-source", '2026-01-01' AS "entry-date", substr(sha256('d|e|' || resource || '|issue|' || details), 1, 16) AS reference FROM d""")
+def task_issues(t: Tables) -> DataFrame:  # A05
+    return tk.issue_tasks(_issues(t), "o", "e", ["error"], ["external"], "2026-01-01")
+
+
+@query(f'SELECT "issue-type", field, count(*) AS count FROM ({_ISSUES}) GROUP BY ALL')
+def issue_summary(t: Tables) -> DataFrame:  # A06
+    return tk.issue_summary(_issues(t))
+
+
+@query(f"SELECT s AS severity, count(*) AS n FROM (SELECT CASE \"issue-type\" WHEN 'R' THEN 'critical' WHEN 'A' THEN 'notice' END AS s FROM ({_ISSUES})) GROUP BY s")
+def issue_severity(t: Tables) -> DataFrame:  # J22
+    kinds = t.spark.createDataFrame([("R", "critical", "internal"), ("A", "notice", "external")], "`issue-type` string, severity string, responsibility string")
+    return tk.with_severity(_issues(t), kinds).groupBy("severity").agg(F.count("*").alias("n"))
+
+
+# ---- geometry (F18-F23, J19, J20) ----
+
+
+def _squares(t: Tables) -> DataFrame:
+    """Squares of side 0.02 around supplier positions, many of which overlap."""
+    x, y = F.col("s_nationkey") * 0.01, F.col("s_suppkey") % 10 * 0.004 + 51
+    corner = lambda dx, dy: F.format_string("%.6f %.6f", x + dx, y + dy)
+    ring = F.concat_ws(",", corner(0, 0), corner(0.02, 0), corner(0.02, 0.02), corner(0, 0.02), corner(0, 0))
+    return t.supplier.select(F.col("s_suppkey").alias("entity"), F.concat(F.lit("MULTIPOLYGON (((") , ring, F.lit(")))")).alias("geometry"), F.format_string("POINT (%.6f %.6f)", x, y).alias("point"))
+
+
+_SQ = "SELECT s_suppkey AS entity, round(s_nationkey * 0.01, 6) AS x, round(s_suppkey % 10 * 0.004 + 51, 6) AS y FROM supplier"
+
+
+@query(f"""WITH s AS ({_SQ}), p AS (SELECT a.entity AS entity_a, b.entity AS entity_b, (0.02 - abs(a.x - b.x)) * (0.02 - abs(a.y - b.y)) / 0.0004 AS share FROM s a JOIN s b ON a.entity < b.entity AND abs(a.x - b.x) < 0.0199 AND abs(a.y - b.y) < 0.0199)
+    SELECT entity_a, entity_b, round(share, 3) AS share, CASE WHEN share >= 0.95 THEN 'two-way' ELSE 'any' END AS kind FROM p""")
+def spatial_duplicates(t: Tables) -> DataFrame:  # J19, Q28
+    pairs = sp.duplicate_geometries(_squares(t), cell=0.05).where("share_a > 0.001")
+    return pairs.select("entity_a", "entity_b", F.round("share_a", 3).alias("share"), "kind")
+
+
+@query(f"SELECT entity FROM ({_SQ}) WHERE x + 0.01 BETWEEN 0.055 AND 0.155 AND y + 0.01 BETWEEN 51.0055 AND 51.0255")
+def spatial_filter(t: Tables) -> DataFrame:  # J20, Q25
+    area = "POLYGON ((0.055 51.0055, 0.155 51.0055, 0.155 51.0255, 0.055 51.0255, 0.055 51.0055))"
+    return sp.related(_squares(t), area, "centroid_within").select("entity")
+
+
+@query(f"WITH s AS ({_SQ}) SELECT min(entity) OVER (PARTITION BY x, y) AS entity_a, entity AS entity_b FROM s QUALIFY entity <> min(entity) OVER (PARTITION BY x, y)")
+def spatial_equal_points(t: Tables) -> DataFrame:  # J19
+    return sp.equal_points(_squares(t)).select("entity_a", "entity_b")
+
+
+@query(f"SELECT entity, printf('POINT (%.6f %.6f)', x + 0.01, y + 0.01) AS point FROM ({_SQ})")
+def geo_centroid(t: Tables) -> DataFrame:  # F23
+    from factweave.functions import geo
+
+    return _squares(t).select("entity", geo.centroid_point("geometry").alias("point"))
+
+
+@query(f"SELECT entity, printf('POINT (%.6f %.6f)', x, y) AS value, 'WGS84 flipped' AS issue FROM ({_SQ})")
+def geo_normalise(t: Tables) -> DataFrame:  # F18-F21
+    from factweave.functions import geo
+
+    p = F.regexp_replace("point", r"\(([0-9.-]+) ([0-9.-]+)\)", "($2 $1)")
+    found = geo.geometry_udf("point")(p)
+    return _squares(t).select("entity", found.alias("r")).select("entity", "r.value", F.get("r.issues", F.lit(0))["issue"].alias("issue"))
