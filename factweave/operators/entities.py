@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,13 +90,9 @@ def json_keys(entities: DataFrame) -> list[str]:
 
 def geojson_features(entities: DataFrame) -> DataFrame:
     """A GeoJSON feature text per entity; points and multipolygons from WKT."""
-    import json as js
-
-    import pandas as pd
-
     @arrow_udf("string")
     def shape(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: js.dumps({"type": g[0], "coordinates": g[1]}) if v and (g := geo.parse_wkt(v)) else None, na_action="ignore")
+        return values.map(lambda v: json.dumps({"type": g[0], "coordinates": g[1]}) if v and (g := geo.parse_wkt(v)) else None, na_action="ignore")
 
     where = F.coalesce(F.nullif(q("geometry"), F.lit("")), F.nullif(q("point"), F.lit("")))
     properties = F.to_json(F.struct(*(q(c) for c in entities.columns if c not in ("geometry", "point"))))

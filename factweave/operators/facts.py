@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ FACT_RESOURCE = ("end_date", "fact", "entry_date", "entry_number", "priority", "
 
 def pivot_to_facts(row: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """One row for each field that an entry has; ``entity`` and the entry date go along."""
-    fields = sorted(f for f in (fields or row.columns) if f not in META and f not in ("entity", "prefix", "reference_organisation"))
+    fields = sorted(f for f in (fields or row.columns) if f not in META and f != "entity")
     held = [c for c in row.columns if c in META]
     date = q("entry-date").alias("entry_date") if "entry-date" in row.columns else F.lit("").alias("entry_date")
     wide = row.select(*held, q("entity").cast("string").alias("entity"), date, *(q(f).cast("string").alias(f"f{i}") for i, f in enumerate(fields)))
@@ -57,8 +58,6 @@ def combine(facts: DataFrame, separators: dict[str, str]) -> DataFrame:
 
 
 def _union(values: str) -> Column:
-    import pandas as pd
-
     @arrow_udf("string")
     def run(sets: pd.Series) -> pd.Series:
         return sets.map(lambda v: geo.combined(list(v)), na_action="ignore")

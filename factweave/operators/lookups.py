@@ -136,8 +136,9 @@ def resolve_references(facts: DataFrame, lookups: DataFrame, old_entities: DataF
         if i == 0:
             prefix = q("prefix")
         else:
-            pairs = [F.lit(x) for k, v in packages.items() if len(v) >= i for x in (k, v[i - 1])]
-            prefix = F.try_element_at(F.create_map(*pairs), q("prefix"))
+            prefix = F.lit(None).cast("string")
+            for k, v in packages.items():
+                prefix = F.when(q("prefix") == k, v[i - 1]).otherwise(prefix) if len(v) >= i else prefix
         for kind, key in (("a", lookup_key("", prefix, q("reference"), organisation)), ("b", lookup_key("", prefix, q("reference")))):
             name = f"_{kind}{i}"
             chosen = chosen.withColumn("_key", F.when(prefix.isNotNull(), key)).join(table.select(F.col("key").alias("_key"), F.col("found").alias(name)), "_key", "left").drop("_key")

@@ -18,7 +18,7 @@ from factweave.functions import dates, geo, numbers, text
 
 ISSUE = "struct<field:string, issue_type:string, value:string, message:string>"
 ISSUES = f"array<{ISSUE}>"
-META = ("dataset", "resource", "line_number", "entry_number", "organisation", "priority", "issues")
+META = ("dataset", "resource", "line_number", "entry_number", "provider", "priority", "issues")
 
 #: Fields that each dataset must fill (fixed values).
 MANDATORY_FIELDS = {

@@ -591,11 +591,11 @@ def check_plan_event(t: Tables) -> DataFrame:  # Q29, J18
     return ck.required_after_event(rows, table, "F", ["name", "phone"], F.lit("1996-01-01").cast("date"))
 
 
-@query("""WITH f AS (SELECT l_orderkey AS fact, l_suppkey AS entity, 'r' || (l_partkey % 40) AS resource FROM lineitem) SELECT s_suppkey::VARCHAR AS reference, s_suppkey AS entity, s_name AS name FROM supplier WHERE s_nationkey < 12 AND s_suppkey NOT IN (SELECT entity FROM f WHERE fact IN (SELECT fact FROM f WHERE resource IN ('r1', 'r2')))""")
+@query("""WITH f AS (SELECT l_orderkey AS fact, l_suppkey AS entity, 'r' || (l_partkey % 4000) AS resource FROM lineitem) SELECT s_suppkey::VARCHAR AS reference, s_suppkey AS entity, s_name AS name FROM supplier WHERE s_nationkey < 12 AND s_suppkey NOT IN (SELECT entity FROM f WHERE fact IN (SELECT fact FROM f WHERE resource IN ('r0','r1','r2','r3','r4','r5','r6','r7')))""")
 def check_deleted_entities(t: Tables) -> DataFrame:  # Q26, J21
-    f = t.lineitem.select(F.col("l_orderkey").alias("fact"), F.col("l_suppkey").alias("entity"), F.concat(F.lit("r"), (F.col("l_partkey") % 40).cast("string")).alias("resource"))
+    f = t.lineitem.select(F.col("l_orderkey").alias("fact"), F.col("l_suppkey").alias("entity"), F.concat(F.lit("r"), (F.col("l_partkey") % 4000).cast("string")).alias("resource"))
     entities = t.supplier.select(F.col("s_suppkey").alias("entity"), F.col("s_suppkey").cast("string").alias("reference"), F.col("s_name").alias("name"), F.when(F.col("s_nationkey") < 12, 1).otherwise(2).alias("organisation_entity"))
-    return ck.deleted_entities(entities, f, f, t.spark.createDataFrame([("r1",), ("r2",)], "resource string"), 1)
+    return ck.deleted_entities(entities, f, f, t.spark.createDataFrame([(f"r{i}",) for i in range(8)], "resource string"), 1)
 
 
 # ---- registers (A07, A10, A11, C02-C12) ----

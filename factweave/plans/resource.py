@@ -73,7 +73,7 @@ def transform(
     harmonised = lk.resolve_for_providers(row, lookups, list(providers), old_entities, rules.lookup_rules) if len(providers) > 1 else lk.resolve_entities(row, lookups, old_entities, rules.lookup_rules, specification.entity_range(dataset))
     entries = rw.prune_entries(harmonised)
     entries = lk.prioritise(entries, entity_organisations, list(providers)) if entity_organisations is not None else entries.withColumn("priority", F.lit(1))
-    facts = ft.pivot_to_facts(entries.withColumn("issues", rw.no_issues()).withColumn("_organisation", F.col("organisation")), [f for f in rw.fields_of(entries) if f != "entity"] + ["organisation"])
+    facts = ft.pivot_to_facts(entries.withColumn("issues", rw.no_issues()).withColumn("provider", F.col("organisation"))).withColumnRenamed("provider", "organisation")
     if rules.combines:
         facts = ft.combine(facts, rules.combines)
     facts = ft.with_hash(facts)

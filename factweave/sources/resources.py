@@ -30,6 +30,10 @@ CONVERSIONS = "resource string, mime_type string, status string, exception strin
 INNER = (".shp", ".gml", ".tab", ".geojson", ".json", ".kml", ".csv")
 
 
+#: Shorter texts say too little about their encoding.
+DETECTABLE = 1024
+
+
 class Rejected(ValueError):
     """A file that is no table."""
 
@@ -44,6 +48,8 @@ def encoding(content: bytes) -> str:
         return "utf-8"
     except UnicodeDecodeError:
         pass
+    if len(content) < DETECTABLE:
+        return "cp1252"
     try:
         from charset_normalizer import from_bytes
 
