@@ -102,3 +102,11 @@ def lower_uri(c: Column | str) -> Column:
 def wikipedia_reference(c: Column | str) -> Column:
     """The page name of an English Wikipedia address."""
     return F.replace(col(c), F.lit("https://en.wikipedia.org/wiki/"), F.lit(""))
+
+
+def mapped(values: dict, c: Column | str) -> Column:
+    """A driver dictionary applied to a column, null for other values. Two literal arrays keep this inside generated code."""
+    if not values:
+        return F.lit(None).cast("string")
+    at = F.array_position(F.array(*map(F.lit, values)), col(c)).cast("int")
+    return F.get(F.array(*(F.lit(v) for v in values.values())), at - 1)

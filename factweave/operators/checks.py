@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from factweave.functions.arrow import arrow_udf
 from factweave.functions import geo, jsons
+from factweave.functions.text import mapped
 from factweave.operators.rows import condition, field_list, q
 
 #: Severities from worst to least (fixed values).
@@ -144,7 +145,7 @@ def outside_owned_ranges(df: DataFrame, ranges: DataFrame, low: str, high: str,
         by_alias: dict[str, list[str]] = {}
         for a, d in turned:
             by_alias.setdefault(a, []).append(d)
-        targets = F.try_element_at(F.create_map(*(x for a, ds in by_alias.items() for x in (F.lit(a), F.array(*map(F.lit, sorted(set(ds))))))), F.col("dataset"))
+        targets = F.split(mapped({a: "\n".join(sorted(set(ds))) for a, ds in by_alias.items()}, "dataset"), "\n")
         every = F.concat(F.coalesce(targets, F.array().cast("array<string>")), F.when(F.col("dataset").isin(aliased), F.array().cast("array<string>")).otherwise(F.array("dataset")))
         own = own.withColumn("dataset", F.explode(F.array_distinct(every)))
     return _outside(values, own, ["dataset", "organisation"]).select("line_number", "value", "dataset", "organisation")

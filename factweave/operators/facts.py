@@ -22,10 +22,10 @@ def pivot_to_facts(row: DataFrame, fields: list[str] | None = None) -> DataFrame
     fields = sorted(f for f in (fields or row.columns) if f not in META and f != "entity")
     held = [c for c in row.columns if c in META]
     date = q("entry-date").alias("entry_date") if "entry-date" in row.columns else F.lit("").alias("entry_date")
-    wide = row.select(*held, q("entity").cast("string").alias("entity"), date, *(q(f).cast("string").alias(f"f{i}") for i, f in enumerate(fields)))
-    long = wide.unpivot([*held, "entity", "entry_date"], [f"f{i}" for i in range(len(fields))], "field", "value").where("value is not null")
-    name = F.element_at(F.array(*(F.lit(f) for f in fields)), (F.substring("field", 2, 9).cast("int") + 1))
-    return long.withColumn("field", name)
+    # Spark's unpivot is an Expand, after which generated code for shared expressions does not compile; explode has no such limit.
+    cells = F.array(*(F.struct(F.lit(f).alias("field"), q(f).cast("string").alias("value")) for f in fields))
+    long = row.select(*held, q("entity").cast("string").alias("entity"), date, F.explode(cells).alias("_cell"))
+    return long.select(*held, "entity", "entry_date", "_cell.field", "_cell.value").where("value is not null")
 
 
 def fact_hash(entity: Column, field: Column, value: Column) -> Column:
@@ -69,9 +69,8 @@ def reference_parts(facts: DataFrame, typology: dict[str, str], prefixes: dict[s
     """Prefix and reference of facts whose field refers to an entity: the row's prefix, the CURIE's, or the field's."""
     fields = [f for f, t in typology.items() if t in REFERENCE_TYPOLOGIES]
     parts = text.curie_parts("value")
-    default = F.create_map(*(F.lit(x) for f in fields for x in (f, prefixes.get(f, f)))) if fields else F.create_map().cast("map<string,string>")
     refers = F.col("field").isin(fields) & (F.coalesce(F.col("value"), F.lit("")) != "")
-    prefix = F.coalesce(F.nullif(parts["prefix"], F.lit("")), F.try_element_at(default, F.col("field")))
+    prefix = F.coalesce(F.nullif(parts["prefix"], F.lit("")), text.mapped({f: prefixes.get(f, f) for f in fields}, "field"))
     return facts.withColumns({"prefix": F.when(refers, prefix), "reference": F.when(refers, parts["reference"])})
 
 

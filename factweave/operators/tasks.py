@@ -10,6 +10,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factweave.functions.text import mapped
 from factweave.operators.rows import q
 
 COLUMNS = ("dataset", "organisation", "endpoint", "resource", "details", "severity", "responsibility", "task-source", "entry-date", "reference")
@@ -71,8 +72,7 @@ def with_severity(issues: DataFrame, issue_types: DataFrame) -> DataFrame:
 
 def with_descriptions(issues: DataFrame, descriptions: dict[tuple[str, str], str]) -> DataFrame:
     """The description of a field's issue type, where there is one; else the message."""
-    pairs = [F.lit(x) for (f, t), d in descriptions.items() for x in (f"{f}\n{t}", d)]
-    known = F.try_element_at(F.create_map(*pairs), F.concat_ws("\n", "field", q("issue-type"))) if pairs else F.lit(None).cast("string")
+    known = mapped({f"{f}\n{t}": d for (f, t), d in descriptions.items()}, F.concat_ws("\n", "field", q("issue-type")))
     return issues.withColumn("description", F.coalesce(known, F.col("message")))
 
 
