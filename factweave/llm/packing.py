@@ -18,50 +18,104 @@ one; empty tables give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factweave.llm.common import pick, stash
 
 SEQUENCE = 4096
-#: Words whose ids a worker remembers at once; beyond it forgets them and starts anew.
-REMEMBERED = 200_000
+#: Words, and pieces of words, whose ids a worker remembers at once; beyond it forgets them and starts anew.
+REMEMBERED = 300_000
+
+#: Words of these characters are their own canonical form, and their lower case is found character by character.
+_PLAIN = re.compile("[!-~\u00a1-\u012f\u0131-\u017f]+")
+#: How the vocabulary cuts words into pieces (fixed value).
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+_MARKS = ".,!?*&%$#;:|"
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes() if sys.byteorder == "big" else array("I", ids).tobytes()
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level vocabularies write each byte as a letter: printable bytes as themselves, the others in order from U+0100."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = (b for b in range(256) if b not in set(printable))
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
 
 class WordTokenizer:
     """Ids of whole texts, word by word.
 
     The vocabulary drops white space and never merges across it, so a text's ids
-    are those of its words in order; words come again and again, and their ids
-    are remembered.
+    are those of its words in order. Words come again and again, and so do their
+    pieces (letters, digits, marks): the ids of both are remembered. Plain words are
+    cut into pieces here and each piece goes to the model; any other word (other
+    scripts, control characters, special tokens) goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def ids(self, text: bytes) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
         words = text.split()
-        known = self.known
-        if new := set(words).difference(known):
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = set(words)
-            new = list(new)
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                codes = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-                known.update(zip(part, (np.array(c.ids, "<u4").tobytes() for c in codes)))
-        return b"".join(map(known.__getitem__, words))
+        try:
+            return b"".join(map(self.words.__getitem__, words))
+        except KeyError:
+            pass
+        new = set(words).difference(self.words)
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words.clear()
+            new = set(words)
+        for word in new:
+            self.words[word] = self._word(word.decode())
+        return b"".join(map(self.words.__getitem__, words))
+
+    def _word(self, word: str) -> bytes:
+        if not _PLAIN.fullmatch(word) or "<|" in word:
+            return _packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        word = word.lower()
+        head = word.rstrip(_MARKS)
+        if head.isalpha():  # letters, then marks: nearly all words
+            tail = word[len(head) :]
+            return self._piece(head) + self._piece(tail) if tail else self._piece(head)
+        return b"".join(map(self._piece, _PIECES.findall(word)))
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) > REMEMBERED:
+                self.pieces.clear()
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+            ids = self.pieces[piece] = _packed([t.id for t in self.model.tokenize(letters)])
+        return ids
+
+
+@functools.cache
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer for all tasks of a worker process."""
+    return WordTokenizer(path)
 
 
 def tokenizer_path() -> str:
@@ -75,7 +129,7 @@ def pieces(docs: DataFrame, path: str | None = None, end_id: int = 1, sequence:
     end, size = np.array([end_id], "<u4").tobytes(), 4 * sequence
 
     def run(batches: Iterator[pa.RecordBatch]):
-        tokenizer = WordTokenizer(path or tokenizer_path())
+        tokenizer = worker_tokenizer(path or tokenizer_path())
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in enumerate(batch.column(1)):
