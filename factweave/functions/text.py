@@ -110,3 +110,13 @@ def mapped(values: dict, c: Column | str) -> Column:
         return F.lit(None).cast("string")
     at = F.array_position(F.array(*map(F.lit, values)), col(c)).cast("int")
     return F.get(F.array(*(F.lit(v) for v in values.values())), at - 1)
+
+
+def normalise_enum(c: Column | str, allowed: dict[str, str]) -> Column:
+    """the name that a value maps to once lower case and reduced to letters, digits, hyphens, underscores and spaces; null if none."""
+    return mapped(allowed, F.trim(F.regexp_replace(F.lower(col(c)), "[^a-z0-9_ -]", "")))
+
+
+def is_date(c: Column | str) -> Column:
+    """whether a value is an ISO date."""
+    return F.coalesce(col(c).rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_date(col(c)).isNotNull(), F.lit(False))
