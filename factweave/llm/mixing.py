@@ -126,7 +126,7 @@ def _plan(docs: DataFrame, weights, max_epochs: int, block_words: int, shard_slo
     times = slots.groupBy("source", "block").agg(F.count("*").alias("times"))
 
     # Offsets: sums per bucket first, then within a bucket, so that a hot source is no single task.
-    n_buckets = max(1, round(n_docs / max(2000, n_docs**0.5)))
+    n_buckets = max(1, round(n_docs / max(250, n_docs**0.5)))
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("ident")), F.lit(n_buckets)))
     base = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     base = base.withColumn("base", F.sum("words").over(by_source.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("words"))
