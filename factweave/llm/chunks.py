@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from factweave.llm.common import pick, stash
 
-REACH, LONGEST = 3, 48
+REACH, LONGEST = 3, 24
 #: A digest is hot if it makes up more than one in so many chunks; there are fewer hot digests than that.
 HOT_SHARE = 2000
 #: The gear table: a random 32-bit value for each byte, from a fixed seed.
