@@ -75,6 +75,8 @@ FAR_PAST = dt.date(1799, 12, 31)
 FUTURE_YEARS = 50
 _EPOCH = dt.datetime(1970, 1, 1)
 _DIGITS = {"%Y%m%d": 8, "%Y%m%d%H%M%S": 14}
+#: The characters that a value must hold for a form to fit, in lower case, and whether it must hold letters.
+_NEEDS = {f: (frozenset(re.sub("%[a-zA-Z]", "", f).lower()), bool(re.search("%[abB]", f))) for f in FORMS}
 
 
 def _from_epoch(value: str) -> dt.datetime | None:
@@ -102,6 +104,8 @@ def _six_digits(value: str) -> str:
 def parse_date(text: str) -> tuple[dt.date | None, str]:
     """The date in a text, and the text as it was when a form fitted."""
     value = text.strip().strip('",')
+    held = {" " if c.isspace() else c for c in value.lower()}
+    worded = any(c.isalpha() for c in held)
     for form in FORMS:
         try:
             if form == "%s":
@@ -113,6 +117,9 @@ def parse_date(text: str) -> tuple[dt.date | None, str]:
                 continue
             if "%f" in form:
                 value = _six_digits(value)
+            marks, letters = _NEEDS[form]
+            if not marks <= held or (letters and not worded):
+                continue
             return dt.datetime.strptime(value, form).date(), value
         except (ValueError, OverflowError):
             continue
