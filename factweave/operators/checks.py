@@ -92,7 +92,7 @@ def overlapping_ranges(df: DataFrame, low: str, high: str, bin_size: int | None
 def not_allowed(df: DataFrame, name: str, allowed: list[str]) -> DataFrame:
     """``line_number, value`` of values outside a list; the line number counts the failing rows from 2, as the check defines it."""
     failing = df.select(F.col("line_number").alias("_at"), cell(name).alias("value")).where(~F.col("value").isin(allowed))
-    return failing.select((F.row_number().over(Window.orderBy("_at")) + 1).alias("line_number"), "value")
+    return failing.select((F.row_number().over(Window.orderBy("_at")) + 1).cast("bigint").alias("line_number"), "value")
 
 
 def blank_rows(df: DataFrame) -> DataFrame:

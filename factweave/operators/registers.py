@@ -161,7 +161,7 @@ def free_entities(used: DataFrame, low: int, high: int, start: int, wanted: int)
     first = start if low <= start <= high else low
     numbers = spark.range(n).select(F.col("id").alias("position"), (F.lit(low) + (F.lit(first - low) + F.col("id")) % span).alias("entity"))
     free = numbers.join(taken, "entity", "left_anti").orderBy("position").limit(wanted)
-    return free.select((F.row_number().over(Window.orderBy("position")) - 1).alias("position"), "entity")
+    return free.select((F.row_number().over(Window.orderBy("position")) - 1).cast("bigint").alias("position"), "entity")
 
 
 def assign_entities(missing: DataFrame, lookups: DataFrame, low: int, high: int, old_entities: DataFrame | None = None) -> DataFrame:

@@ -103,7 +103,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     last = F.filter(F.slice("header", 1, n), lambda h, i: ~F.array_contains(F.slice(F.col("header"), i + 2, F.greatest(n - i - 1, F.lit(0))), h))
     cell = F.transform(last, lambda h: F.element_at(F.col("line"), (n - F.array_position(F.reverse(F.slice("header", 1, n)), h) + 1).cast("int")))
     rest = rest.withColumn("row", F.map_from_arrays(last, cell))
-    return rest.withColumn("entry_number", F.row_number().over(order)).drop("line", "header", "_first")
+    return rest.withColumn("entry_number", F.row_number().over(order).cast("bigint")).drop("line", "header", "_first")
 
 
 def concat_fields(row: DataFrame, concats: dict[str, dict]) -> DataFrame:

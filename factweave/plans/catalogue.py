@@ -241,7 +241,7 @@ def norm_integer(t: Tables) -> DataFrame:  # F03
     return t.part.select("p_partkey", numbers.normalise_integer(F.expr(_INT.replace("::VARCHAR", " || ''"))).alias("r")).select("p_partkey", "r.*")
 
 
-@query("""SELECT o_orderkey, regexp_replace(regexp_replace(printf('%.2f', o_totalprice), '0+$', ''), '\\.$', '') AS value, NULL AS issue FROM orders""")
+@query("""SELECT o_orderkey, regexp_replace(regexp_replace(printf('%.2f', o_totalprice), '0+$', ''), '\\.$', '') AS value, NULL::VARCHAR AS issue FROM orders""")
 def norm_decimal(t: Tables) -> DataFrame:  # F04
     price = F.concat(F.lit("£"), F.format_number("o_totalprice", 2))
     return t.orders.select("o_orderkey", numbers.normalise_decimal(price).alias("r")).select("o_orderkey", "r.value", "r.issue")
@@ -263,7 +263,7 @@ def norm_url(t: Tables) -> DataFrame:  # F07
     return t.pages.select("page_id", text.normalise_url(F.concat(F.lit(" "), F.col("url"), F.lit("\n"))).alias("value"))
 
 
-@query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS value, NULL AS issue FROM orders""")
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS value, NULL::VARCHAR AS issue FROM orders""")
 def norm_date_iso(t: Tables) -> DataFrame:  # F08, native path
     return t.orders.select("o_orderkey", dates.normalise_date(F.date_format("o_orderdate", "yyyy-M-d"), F.lit("2026-01-01").cast("date")).alias("r")).select("o_orderkey", "r.value", "r.issue")
 
