@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -40,7 +42,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 @functools.cache
 def _own_dir() -> str:
-    return f"file://{tempfile.mkdtemp(prefix='checkpoint-')}"
+    folder = tempfile.mkdtemp(prefix="checkpoint-")
+    atexit.register(shutil.rmtree, folder, True)
+    return f"file://{folder}"
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:
