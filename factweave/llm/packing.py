@@ -7,9 +7,11 @@ lowest set bit). If none does, a new sequence opens, and when too many are open
 the fullest closes first. Space is bounded by the number of open sequences, not
 by the input.
 
-Pieces are dealt to packers by hash, in an order by hash, so that reruns agree
-and each packer sees a random mix of lengths; the number of packers follows the
-number of tokens, so that the sequences left open at the end stay a small part.
+Pieces are dealt to packers by hash, so that each sees the same mix of lengths;
+the number of packers follows the number of tokens. A packer takes its pieces
+longest first (equal lengths in an order by hash, so that reruns agree), and by
+default may hold more sequences open than a packer's share of tokens fills, so
+that short pieces at the end still find the gaps that long ones left.
 
 Cases: null text is an empty document, which still has its end token; longer
 documents are cut into full pieces and a rest; repeated rows are packed one by
@@ -182,7 +184,7 @@ class Packer:
         return number, self.sequence - free
 
 
-def pack(docs: DataFrame, path: str | None = None, end_id: int = 1, sequence: int = SEQUENCE, open_bins: int = 2048, packer_tokens: int = 32 << 20) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, end_id: int = 1, sequence: int = SEQUENCE, open_bins: int = 16384, packer_tokens: int = 32 << 20) -> DataFrame:
     """The pieces of all documents with ``sequence_id`` and ``offset``.
 
     ``packer_tokens`` is the number of tokens for which a further packer is added.
@@ -205,7 +207,7 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = 1, sequence: in
     # A packer's rows lie together under its number in a partition that may hold several packers.
     number = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(packers))
     dealt = cut.withColumn("packer", number).withColumn("order", F.xxhash64("ids_crc32", "doc_id", "piece"))
-    dealt = dealt.repartition(packers, "packer").sortWithinPartitions("order", "doc_id", "piece", "length")
+    dealt = dealt.repartition(packers, "packer").sortWithinPartitions(F.col("length").desc(), "order", "doc_id", "piece")
     dealt = dealt.withColumn("packer", F.spark_partition_id().cast("long") * F.lit(1 << 33)).drop("order")
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema.fields)
     return dealt.mapInArrow(run, f"{types}, sequence_id long, offset long")
