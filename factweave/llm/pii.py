@@ -86,8 +86,6 @@ TRIGGER = re.compile(r"[0-9@]|(?i:[\[({<][ ]?at[ ]?[\])}>])|(?i:\bdot\b)")
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 #: A window holds the tokens around triggers that lie at most this many characters apart, and so many beside them.
 WINDOW_GAP, WINDOW_SIDE = 48, 48
-#: A window is cut after so many tokens, at a point outside every candidate where there is one.
-WINDOW_TOKENS = 400
 _WORDS = {"at": "at", "dot": "dot", "tel": "call", "phone": "call", "call": "call", "mobile": "call", "fax": "call", "card": "card", "visa": "card", "ip": "ip", "host": "ip", "email": "mail", "mail": "mail"}
 
 
@@ -223,27 +221,16 @@ class SemiMarkovField:
         return self
 
     def find(self, text: str) -> list[Span]:
-        """Spans of a whole text, window by window."""
+        """Spans of a whole text, window by window; a window is decoded whole, whatever its length."""
         out: list[Span] = []
         for start, end in windows(text):
             tokens = [(m.start(), m.end()) for m in TOKEN.finditer(text, start, end)]
-            for part in _parts(tokens):
-                spans = [(i, j, self.scores(span_features(part, i, j, text))) for i, j in candidates(part, text)]
-                spans = [s for s in spans if max(s[2].values()) > 0]
-                out += [(part[i][0], part[j - 1][1], k) for i, j, k in self.decode(len(part), spans)] if spans else []
+            scored = ((i, j, self.scores(span_features(tokens, i, j, text))) for i, j in candidates(tokens, text))
+            spans = [s for s in scored if max(s[2].values()) > 0]
+            out += [(tokens[i][0], tokens[j - 1][1], k) for i, j, k in self.decode(len(tokens), spans)] if spans else []
         return out
 
 
-def _parts(tokens):
-    """The tokens of a window, cut where white space is widest once there are too many."""
-    while len(tokens) > WINDOW_TOKENS:
-        gaps = [(tokens[k][0] - tokens[k - 1][1], k) for k in range(WINDOW_TOKENS // 2, WINDOW_TOKENS)]
-        cut = max(gaps)[1]
-        yield tokens[:cut]
-        tokens = tokens[cut:]
-    yield tokens
-
-
 def windows(text: str) -> Iterator[tuple[int, int]]:
     """Stretches of text around triggers, cut at white space."""
     start = end = None

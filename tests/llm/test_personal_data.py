@@ -49,6 +49,13 @@ def test_field_adds_what_the_forms_miss_and_leaves_other_numbers():
     assert pii.all_spans('token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" in version 2.0.1 of 2024-11-12', field)[1] == []
 
 
+def test_long_dense_windows_lose_nothing():
+    lines = [f"call 212 555 {1000 + i}" for i in range(300)]
+    text = "\n".join(lines)
+    found = {text[s:e] for s, e, k in pii.all_spans(text, pii.trained())[1] if k == "phone"}
+    assert found == {line[5:] for line in lines}
+
+
 def test_decoding_takes_the_best_segmentation():
     field = pii.SemiMarkovField()
     score = lambda k, s: {x: s if x == k else -9.0 for x in pii.KINDS}
