@@ -217,11 +217,28 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """One row for each near-duplicate component of ``docs``: that of the smallest doc_id (of repeated rows, one)."""
+    """One row for each near-duplicate component of ``docs``, whatever the ids: that of the smallest doc_id, nulls last, then of the smallest row hash."""
     names = docs.columns
-    near = near_duplicates(docs, shingle_words).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     work = docs.toDF(*(f"_{i}" for i in range(len(names))))
-    doc_id = F.col(f"_{names.index('doc_id')}")
-    kept = work.join(near, doc_id.eqNullSafe(F.col("kept_id")), "left_semi")
-    kept = kept.withColumn("row", F.row_number().over(Window.partitionBy(doc_id).orderBy(doc_id))).where("row = 1").drop("row")
-    return kept.toDF(*names)
+    values = [x for i in range(len(names)) for x in (F.col(f"_{i}"), F.col(f"_{i}").isNull())]  # the hash skips nulls
+    work = work.withColumn("row", F.xxhash64(*values))
+    doc_id, text = (F.col(f"_{names.index(n)}") for n in ("doc_id", "text"))
+    keys = work.select(F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), "row").alias("place"), text.cast("binary").alias("text"))
+    nodes = stash(_placed(keys, shingle_words), "fps").groupBy("fp").agg(F.min("place").alias("place"))
+    roots = components(fingerprint_links(nodes)).select(F.col("node").alias("fp"), "root")
+    first = nodes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("place").alias("place"))
+    kept = work.join(first.select(F.col("place.doc_id").alias("kept_id"), F.col("place.row").alias("kept_row")), doc_id.eqNullSafe(F.col("kept_id")) & (F.col("row") == F.col("kept_row")), "left_semi")
+    # Rows that repeat in every column share their place.
+    kept = kept.withColumn("copy", F.row_number().over(Window.partitionBy(doc_id, "row").orderBy("row"))).where("copy = 1")
+    return kept.drop("row", "copy").toDF(*names)
+
+
+def _placed(keys: DataFrame, shingle_words: int) -> DataFrame:
+    """``place, fp`` for every row of ``keys`` (``place, text``)."""
+
+    def run(batches):
+        for batch in batches:
+            fps = [_signed(fingerprint(t.as_py(), shingle_words)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["place", "fp"])
+
+    return keys.mapInArrow(run, f"place {keys.schema['place'].dataType.simpleString()}, fp long")

@@ -81,3 +81,11 @@ def test_near_duplicates_agree_with_brute_force(spark):
     assert kept.columns == docs.columns
     assert sorted(r[0] for r in kept.collect()) == sorted(set(want.values()))
     assert simhash.near_duplicates(docs.where("doc_id < 0")).count() == 0
+
+
+def test_one_row_of_each_component_whatever_the_ids(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(200)) for c in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[2]), (9, texts[5]), (9, texts[5]), (None, None)]
+    docs = spark.createDataFrame([(i, t, "x", None) for i, t in rows], DOCS)
+    got = [(r[0], r[1]) for r in simhash.one_of_each(docs).collect()]
+    assert sorted(got, key=str) == sorted([(None, texts[0]), (None, texts[1]), (8, texts[2]), (7, texts[3]), (7, texts[4]), (9, texts[5]), (None, None)], key=str)
