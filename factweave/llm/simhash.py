@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from factweave.llm import shingles
 from factweave.llm.common import pick, stash
 from factweave.llm.components import components
 
@@ -216,16 +217,23 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """One row for each near-duplicate component of ``docs``, whatever the ids: that of the smallest doc_id, nulls last, then of the smallest row hash."""
+def one_of_each(docs: DataFrame, shingle_words: int = 3, similarity: float | None = None) -> DataFrame:
+    """One row for each near-duplicate component of ``docs``, whatever the ids: that of the smallest doc_id, nulls last, then of the smallest row hash.
+
+    Links are those of at most 2 bits, or, where ``similarity`` is given, of at least that Jaccard similarity of the sets of shingles.
+    """
     names = docs.columns
     work = docs.toDF(*(f"_{i}" for i in range(len(names))))
     values = [x for i in range(len(names)) for x in (F.col(f"_{i}"), F.col(f"_{i}").isNull())]  # the hash skips nulls
     work = work.withColumn("row", F.xxhash64(*values))
     doc_id, text = (F.col(f"_{names.index(n)}") for n in ("doc_id", "text"))
     keys = work.select(F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id"), "row").alias("place"), text.cast("binary").alias("text"))
-    nodes = stash(_placed(keys, shingle_words), "fps").groupBy("fp").agg(F.min("place").alias("place"))
-    roots = components(fingerprint_links(nodes)).select(F.col("node").alias("fp"), "root")
+    if similarity is None:
+        nodes = stash(_placed(keys, shingle_words), "fps").groupBy("fp").agg(F.min("place").alias("place"))
+        links = fingerprint_links(nodes)
+    else:
+        nodes, links = shingles.similar(keys, shingle_words, similarity)
+    roots = components(links).select(F.col("node").alias("fp"), "root")
     first = nodes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("place").alias("place"))
     kept = work.join(first.select(F.col("place.doc_id").alias("kept_id"), F.col("place.row").alias("kept_row")), doc_id.eqNullSafe(F.col("kept_id")) & (F.col("row") == F.col("kept_row")), "left_semi")
     # Rows that repeat in every column share their place.

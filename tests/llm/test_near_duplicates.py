@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import xxhash
 
@@ -89,3 +91,38 @@ def test_one_row_of_each_component_whatever_the_ids(spark):
     docs = spark.createDataFrame([(i, t, "x", None) for i, t in rows], DOCS)
     got = [(r[0], r[1]) for r in simhash.one_of_each(docs).collect()]
     assert sorted(got, key=str) == sorted([(None, texts[0]), (None, texts[1]), (8, texts[2]), (7, texts[3]), (7, texts[4]), (9, texts[5]), (None, None)], key=str)
+
+
+def five(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def planted(seed=4):
+    """Texts of 300 words, and for each of them copies with every so many words replaced."""
+    r = random.Random(seed)
+    rows = []
+    for k in range(40):
+        words = [f"w{r.randrange(3000)}" for _ in range(300)]
+        rows.append((10 * k, " ".join(words)))
+        for n, changes in enumerate((1, 2, 4, 5, 6, 20), 1):
+            copy = list(words)
+            for at in r.sample(range(300), changes):
+                copy[at] = f"x{r.randrange(10**6)}"
+            rows.append((10 * k + n, " ".join(copy)))
+    rows += [(1000 + n, " ".join(f"g{i if i % 60 else i * 1000 + n}" for i in range(1, 400))) for n in range(120)]  # a large group
+    return rows
+
+
+def test_stage_links_five_word_shingles_of_similarity_from_0_8(spark):
+    import corpus_pipeline
+
+    rows = planted() + [(2000, None), (2001, ""), (2002, "a b"), (2003, "a b"), (2004, "a c")]
+    sets = {i: five(t or "") for i, t in rows}
+    sim = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b and a // 10 == b // 10 or a < b and 1000 <= a < b < 2000}
+    links = [p for p, s in sim.items() if s >= 0.8]
+    want = reachable(links, sets)
+    assert len([s for s in sim.values() if 0.8 <= s < 0.95]) > 80
+    docs = spark.createDataFrame([(i, t, "x", None) for i, t in rows], DOCS)
+    got = {r[0] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert got == set(want.values())
