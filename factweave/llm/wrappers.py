@@ -26,6 +26,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -66,7 +67,20 @@ MARKS = frozenset(
 )
 
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: A token with one of these words tells what the page has or lacks, and marks nothing; nor does the header of one of the second set.
+LAYOUT = frozenset("has have no non not with without".split())
+HEADED = frozenset("article content entry headline post section story title".split())
+
+
+def _marked(value: str) -> bool:
+    """Whether a token of a class, id or role marks what is no main text."""
+    for token in value.split():
+        words = set(re.split(r"[_-]+", token))
+        marks = words & MARKS
+        if marks and not words & LAYOUT and not (marks == {"header"} and words & HEADED):
+            return True
+    return False
 
 
 class Node:
@@ -80,19 +94,25 @@ class Node:
         if attributes and not attributes.isspace():
             for m in _ATTR.finditer(attributes):
                 name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+                if name not in ("class", "id", "role", "hidden", "aria-hidden"):
+                    continue
                 if name == "hidden" or name == "aria-hidden":
                     self.out = self.out or (name == "hidden" or value == "true")
                     continue
-                words = set(re.split(r"[\s_-]+", value))
-                self.out = self.out or bool(words & MARKS)
+                self.out = self.out or tag not in ("html", "body") and _marked(value)
                 marks += f" {name}={value}"
         self.key = tag + re.sub(r"\d+", "0", marks)
 
 
 def parse(page: str) -> Node:
-    """The element tree; comments, declarations and the contents of raw elements are dropped."""
+    """The element tree; comments, declarations and the contents of raw elements are dropped.
+
+    Elements deeper than MAX_DEPTH add to the contents of their ancestor at that
+    depth (those that are left out, to contents of their own), so walks stay shallow.
+    """
     root = Node("html")
     stack = [root]
+    opened = Counter()
     at, end = 0, len(page)
 
     def text(upto: int):
@@ -100,8 +120,13 @@ def parse(page: str) -> Node:
             stack[-1].children.append(page[at:upto])
 
     def close(tags, until=frozenset()):
+        if not any(opened[t] for t in tags):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag in tags:
+                opened.subtract(n.tag for n in stack[depth:])
+                if depth >= MAX_DEPTH:
+                    stack[depth - 1].children.append(Node(stack[depth].tag))  # a block ends here
                 del stack[depth:]
                 return
             if stack[depth].tag in until:
@@ -125,7 +150,7 @@ def parse(page: str) -> Node:
             at = search = m.end()
             tag = m[1].lower()
             if page[lt + 1] == "/":
-                if tag == "p" and not any(n.tag == "p" for n in stack):
+                if tag == "p" and not opened["p"]:
                     continue
                 close((tag,), frozenset() if tag in BLOCK else BLOCK)
                 continue
@@ -141,7 +166,15 @@ def parse(page: str) -> Node:
             if tag in RAW:
                 stop = re.compile(f"</{re.escape(tag)}", re.I).search(page, at)
                 at = search = end if stop is None else (page.find(">", stop.start()) + 1 or end)
-            elif tag not in VOID and not m[2].endswith("/") and len(stack) < MAX_DEPTH:
+            elif tag not in VOID and not m[2].endswith("/"):
+                if len(stack) >= MAX_DEPTH:
+                    apart = node.out and not stack[-1].out
+                    node = Node(tag, m[2])
+                    node.out = node.out or len(stack) > MAX_DEPTH and stack[-1].out
+                    node.children = stack[-1].children
+                    if apart:
+                        node.children = []
+                opened[tag] += 1
                 stack.append(node)
     text(end)
     return root
@@ -243,7 +276,7 @@ def main_part(wrapper: dict) -> list[str]:
 
 def _key_out(key: str) -> bool:
     tag, _, marks = key.partition(" ")
-    return tag in LEFT_OUT or bool(set(re.split(r"[\s_=-]+", marks)) & MARKS)
+    return tag in LEFT_OUT or tag not in ("html", "body") and _marked(re.sub(r"(?:^|(?<= ))(?:class|id|role)=", "", marks))
 
 
 class Wrapper:

@@ -22,6 +22,20 @@ def test_odd_markup():
     assert wrappers.main_text("<article>" + "<p>word</p>" * 20000 + "</article>", w).count("word") == 20000
 
 
+def test_only_true_marks_leave_out():
+    w = wrappers.Wrapper(None)
+    for html in ['<article style="overflow:hidden"><p>a</p></article>', '<article><p title="hidden gem">a</p></article>', "<article><a href=/hidden-valley>a</a></article>", '<body class="no-sidebar"><article>a</article></body>', '<div class="has-sidebar"><article>a</article></div>', '<article><h1 class="entry-header">a</h1></article>']:
+        assert wrappers.main_text(html, w) == "a", html
+    for html in ["<article hidden>a</article>", "<article><div aria-hidden=true>a</div></article>", '<article><div class="x site-sidebar">a</div></article>', "<article><div role='navigation'>a</div></article>"]:
+        assert wrappers.main_text(html, w) == "", html
+
+
+def test_text_after_and_in_deep_elements():
+    w = wrappers.Wrapper(None)
+    deep = "<div>" * 200 + "<p>x</p><aside>by<b>e</b></aside><p>y" + "</div>" * 200
+    assert wrappers.main_text(f"<div><article>{deep}<p>after</p></article>out</div>", w) == "x\n\ny\n\nafter"
+
+
 def test_wrapper_finds_groups_optionals_and_slots():
     pages = [page(str(i), "<div id=main><h1>t%d</h1>%s%s</div><div class=x>Always here</div>" % (i, "<h2>o</h2>" if i % 2 else "", "<p>text %d, and some more of it</p>" % i * (i + 1))) for i in range(4)]
     out = wrappers.folded(wrappers.parse(pages[0]))
