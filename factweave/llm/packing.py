@@ -8,10 +8,9 @@ the fullest closes first. Space is bounded by the number of open sequences, not
 by the input.
 
 Pieces are dealt to packers by hash, so that each sees the same mix of lengths;
-the number of packers follows the number of tokens. A packer takes its pieces
-longest first (equal lengths in an order by hash, so that reruns agree), and by
-default may hold more sequences open than a packer's share of tokens fills, so
-that short pieces at the end still find the gaps that long ones left.
+the number of packers follows the number of tokens. A packer is online: pieces
+arrive in an order by hash, which has nothing to do with their lengths and which
+reruns repeat, and none is put back or moved. A closed sequence takes no more.
 
 Cases: null text is an empty document, which still has its end token; longer
 documents are cut into full pieces and a rest; repeated rows are packed one by
@@ -157,7 +156,10 @@ class Packer:
         self.count = self.opened = 0
 
     def put(self, length: int) -> tuple[int, int]:
-        """The sequence of a piece and its place there."""
+        """The sequence of a piece and its place there.
+
+        Of equally full sequences the one that came to be so last takes the piece, and the first one closes.
+        """
         fits = self.frees >> length
         if fits:
             free = length + (fits & -fits).bit_length() - 1
@@ -184,30 +186,32 @@ class Packer:
         return number, self.sequence - free
 
 
-def pack(docs: DataFrame, path: str | None = None, end_id: int = 1, sequence: int = SEQUENCE, open_bins: int = 16384, packer_tokens: int = 32 << 20) -> DataFrame:
+def dealt(cut: DataFrame, packers: int) -> DataFrame:
+    """``cut`` in one partition for each packer, in order of arrival, with the packer's number."""
+    number = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(packers)).cast("int")
+    rows = cut.withColumn("packer", number).withColumn("arrival", F.xxhash64("ids_crc32", "doc_id", "piece"))
+    return rows.repartitionById(packers, F.col("packer")).sortWithinPartitions("arrival", "doc_id", "piece", "length", "ids_crc32").drop("arrival")
+
+
+def pack(docs: DataFrame, path: str | None = None, end_id: int = 1, sequence: int = SEQUENCE, open_bins: int = 128, packer_tokens: int = 32 << 20) -> DataFrame:
     """The pieces of all documents with ``sequence_id`` and ``offset``.
 
+    ``open_bins`` bounds the sequences that a packer holds open, and
     ``packer_tokens`` is the number of tokens for which a further packer is added.
     """
     cut = stash(pieces(docs, path, end_id, sequence), "pieces")
     n_tokens = cut.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     packers = max(1, round(n_tokens / packer_tokens))
-
     names = cut.columns
 
     def run(batches: Iterator[pa.RecordBatch]):
         packer = Packer(sequence, open_bins)
         for batch in batches:
             put = [packer.put(n) for n in batch.column(batch.schema.get_field_index("length")).to_pylist()]
-            base = batch.column(batch.schema.get_field_index("packer"))
+            first = pc.shift_left(pc.cast(batch.column(batch.schema.get_field_index("packer")), pa.int64()), 33)
             number, offset = (pa.array([p[i] for p in put], pa.int64()) for i in (0, 1))
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pc.add(base, number), offset], [*names, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*columns, pc.add(first, number), offset], [*names, "sequence_id", "offset"])
 
-    # A packer's rows lie together under its number in a partition that may hold several packers.
-    number = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(packers))
-    dealt = cut.withColumn("packer", number).withColumn("order", F.xxhash64("ids_crc32", "doc_id", "piece"))
-    dealt = dealt.repartition(packers, "packer").sortWithinPartitions(F.col("length").desc(), "order", "doc_id", "piece")
-    dealt = dealt.withColumn("packer", F.spark_partition_id().cast("long") * F.lit(1 << 33)).drop("order")
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema.fields)
-    return dealt.mapInArrow(run, f"{types}, sequence_id long, offset long")
+    return dealt(cut, packers).mapInArrow(run, f"{types}, sequence_id long, offset long")

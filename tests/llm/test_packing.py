@@ -50,3 +50,53 @@ def test_best_fit_in_bounded_space():
         open_ = {b for bins in packer.by_free for b in bins}
         free = {b: f for b, f in free.items() if b in open_}
     assert packer.opened <= 1.02 * -(-sum(sizes) // 4096)
+
+
+class Plain:
+    """Best-fit by looking at every open sequence: (free, since, number)."""
+
+    def __init__(self, sequence, open_bins):
+        self.sequence, self.open_bins, self.open, self.opened, self.closed, self.time = sequence, open_bins, [], 0, 0, 0
+
+    def put(self, length):
+        self.time += 1
+        fits = [b for b in self.open if b[0] >= length]
+        if fits:
+            best = min(fits, key=lambda b: (b[0], -b[1]))
+            self.open.remove(best)
+        else:
+            best = (self.sequence, 0, self.opened)
+            self.opened += 1
+        if best[0] > length:
+            self.open.append((best[0] - length, self.time, best[2]))
+        if len(self.open) > self.open_bins:
+            self.open.remove(min(self.open))
+            self.closed += 1
+        return best[2], self.sequence - best[0]
+
+
+def test_query_packs_online_and_closes_the_fullest(spark):
+    r = np.random.default_rng(8)
+    docs = spark.createDataFrame([(i, "word " * int(n)) for i, n in enumerate(r.integers(1, 900, 700))], "doc_id long, text string")
+    cut = packing.pieces(docs, sequence=1024)
+    for open_bins in (1, 3, 20):
+        plain = Plain(1024, open_bins)
+        want = {(p["doc_id"], p["piece"]): plain.put(p["length"]) for p in packing.dealt(cut, 1).collect()}
+        got = packing.pack(docs, sequence=1024, open_bins=open_bins).collect()
+        assert {(g["doc_id"], g["piece"]): (g["sequence_id"], g["offset"]) for g in got} == want
+        assert plain.closed > 0  # the bound binds
+    lengths = [p["length"] for p in packing.dealt(cut, 1).collect()]
+    assert lengths != sorted(lengths, reverse=True)
+    few, many = (len({g["sequence_id"] for g in packing.pack(docs, sequence=1024, open_bins=k).collect()}) for k in (1, 128))
+    assert many < few
+
+
+def test_packers_have_sequences_of_their_own(spark):
+    docs = spark.range(500).selectExpr("id AS doc_id", "repeat('some words ', cast(id % 90 AS int)) AS text")
+    got = packing.pack(docs, packer_tokens=9000).collect()
+    assert len({g["sequence_id"] >> 33 for g in got}) > 3
+    used = {}
+    for g in got:
+        used.setdefault(g["sequence_id"], []).append((g["offset"], g["length"]))
+    for parts in used.values():
+        assert [o for o, _ in sorted(parts)] == np.cumsum([0] + [n for _, n in sorted(parts)])[:-1].tolist() and sum(n for _, n in parts) <= 4096
