@@ -8,6 +8,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +34,11 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, as the session names it.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests on one machine) a
-    temporary folder is used.
+    Only on one machine (a local master, as in tests) may it be unset; then a temporary folder is used.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (found or _own_dir()).rstrip("/")
 
 
@@ -47,6 +49,14 @@ def _own_dir() -> str:
     return f"file://{folder}"
 
 
+@functools.cache
+def _stash_dir(spark: SparkSession, application: str, shared: str) -> str:
+    """The application's own folder there, which goes when the application ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared}/stash-{application}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return path.toString()
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -54,7 +64,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     survives lost executors because the files live in shared storage.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stash/{name}-{uuid.uuid4().hex}"
+    path = f"{_stash_dir(spark, spark.sparkContext.applicationId, shared_dir(spark))}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -63,12 +73,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@functools.cache
+def _package(root: str) -> str:
+    """A zip archive of this library."""
+    folder = tempfile.mkdtemp(prefix="package-")
+    atexit.register(shutil.rmtree, folder, True)
+    path = os.path.join(folder, "factweave.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for where, _, files in os.walk(os.path.join(root, "factweave")):
+            for file in files:
+                if file.endswith(".py"):
+                    out.write(os.path.join(where, file), os.path.relpath(os.path.join(where, file), root))
+    return path
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Let Python workers started by this session import this library from where the driver has it."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    env = spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    """Send this library to the Python workers of all executors, once for each session."""
+    context = spark.sparkContext
+    if not any(name.endswith("factweave.zip") for name in context._python_includes):
+        context.addPyFile(_package(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))))
 
 
 def word_count(text):

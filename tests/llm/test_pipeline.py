@@ -75,4 +75,4 @@ def test_queries_are_registered():
     names = list(entry.queries())
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
     assert set(entry.oracle_sql()) <= set(names) and corpus_pipeline.ORACLE_SQL is None
-    assert quality.RULES and os.path.exists(packing.tokenizer_path())
+    assert quality.PROSE and os.path.exists(packing.tokenizer_path())
