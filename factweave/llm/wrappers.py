@@ -145,7 +145,7 @@ class Node:
                     out.append(Group("#", 0, Part("#", h=digest(s), t=len(s))))
             elif child.tag not in RAW:
                 out.append(Group(child.key, 0, child))
-        if len(out) == 1 and out[0].key == "#" and self.tag in BLOCK:
+        if len(out) == 1 and out[0].key == "#" and self.tag in BLOCK and self.tag != "h1":  # a page's own title may come again
             text = out[0].sides[0][0]
             text.f[text.h] = 1
             return out
@@ -502,7 +502,7 @@ def rule_of(top: Part) -> Rule:
     # A constant beside a slot of its block is part of a sentence; and texts that never vary would leave nothing. Both are data.
     varying = {id(block) for p, _, block in inside if p.key == "#" and p.h is None}
     if varying:
-        cut += [_chain(above, str(p.h)) for p, above, block in inside if p.key == "#" and id(block) not in varying and template(p)]
+        cut += [_chain(above, str(p.h)) for p, above, block in inside if p.key == "#" and id(block) not in varying and block.tag != "h1" and template(p)]
         cut += [_chain(above, f"={h}") for p, above, _ in inside for h, n in p.f.items() if n >= TEMPLATE_PAGES and 2 * n >= top.n]
     if not held:
         cut += [_chain(above, p.key) for p, above, _ in inside if p is not region and p.key != "#" and p.tag in ("ul", "ol", "dl", "div", "table") and p.t and p.a >= LINKS * p.t and any(k.r for k in p.kids)]
