@@ -5,13 +5,18 @@ suffix. Each level's rate is shrunk towards the level above by a beta prior: the
 suffix towards the overall rate, the domain towards its suffix, the host towards
 its domain. The strength of each prior is estimated from how much the groups of
 that level differ beyond chance (a moment estimate of the beta-binomial's
-intra-class correlation). A host is blocked if the lower bound of its posterior
-bad rate lies above ``most_bad``.
+intra-class correlation): where they do not differ, a group's rate is that of the
+level above. A host is blocked if the lower bound of its posterior bad rate lies
+above ``worse`` times the rate of all labelled pages.
+
+Every level is counted once and written, and the driver only sees its sums, so no
+level is planned again for the next.
 
 Cases: a null url, or one without ``://``, has empty host and path and is judged
 by the overall rate; null outcomes are ignored; unlabelled hosts take their
-domain's prior; without any outcome nothing is blocked; repeated rows give
-repeated rows; empty tables give no rows; extra columns are ignored.
+domain's prior; without any outcome nothing is blocked; long urls are read whole;
+repeated rows give repeated rows; empty tables give no rows; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -19,16 +24,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factweave.llm.common import pick
+from factweave.llm.common import pick, stash
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Labels that form a suffix together with a two-letter country label, as in ``co.uk``.
-SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
+#: Labels under which country domains register names (fixed values of public registries), as in ``co.uk``.
+SECOND_LEVEL = tuple("ac asn art co com edu firm gen go gob gouv gov govt gv id ind info int ltd me mil muni ne net nhs nic nom or org plc police pro sch school web".split())
+#: Suffixes of other forms under which unrelated parties have names (fixed values of public registries and hosting services).
+SHARED = tuple("appspot.com azurewebsites.net blogspot.com cloudfront.net firebaseapp.com fly.dev github.io gitlab.io herokuapp.com netlify.app pages.dev readthedocs.io surge.sh tumblr.com vercel.app web.app weebly.com wixsite.com wordpress.com workers.dev".split())
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: A table of hosts with at most so many rows is broadcast; a larger one is joined by shuffle, skew split by adaptive execution.
 BROADCAST_HOSTS = 50_000
-Z, MOST_BAD = 2.0, 0.5
+#: A host is blocked if its rate is, at this many deviations, above so many times the rate of all labelled pages.
+Z, WORSE = 1.64, 1.0
+#: Bounds of the estimated intra-class correlation, so that priors stay finite and proper.
+LEAST_RHO, MOST_RHO = 1e-9, 0.999
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -49,38 +59,48 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colu
 
 
 def domain_and_suffix(host: Column) -> tuple[Column, Column]:
+    """The registered domain (one label more than the suffix) and the suffix."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
     last, second = F.try_element_at(labels, F.lit(-1)), F.try_element_at(labels, F.lit(-2))
-    double = (n >= 3) & (F.length(last) == 2) & second.isin(*SECOND_LEVEL)
-    suffix = F.when(double, F.concat_ws(".", second, last)).otherwise(last)
-    domain = F.when(double, F.concat_ws(".", F.try_element_at(labels, F.lit(-3)), second, last)).otherwise(F.concat_ws(".", second, last))
+    pair = F.concat_ws(".", second, last)
+    double = (n >= 3) & ((F.length(last) == 2) & second.isin(*SECOND_LEVEL) | pair.isin(*SHARED))
+    suffix = F.when(double, pair).otherwise(last)
+    domain = F.when(double, F.concat_ws(".", F.try_element_at(labels, F.lit(-3)), second, last)).otherwise(pair)
     return domain, suffix
 
 
-def _strength(groups: DataFrame) -> DataFrame:
-    """One row ``k``: the prior strength from groups with ``n, bad, prior``."""
+def _sums(groups: DataFrame) -> tuple[DataFrame, float]:
+    """``groups`` (``n, bad, prior``), written, and the strength of their prior."""
+    groups = stash(groups, "reputation")
     spread = (F.col("bad") / F.col("n") - F.col("prior")) ** 2 * F.col("n") / (F.col("prior") * (1 - F.col("prior")))
-    some = groups.where("n > 0 and prior > 0 and prior < 1")
-    sums = some.agg(F.sum(spread).alias("s"), F.count("*").alias("g"), F.sum("n").alias("n"))
-    rho = (F.col("s") - F.col("g")) / (F.col("n") - F.col("g"))
-    k = F.when((F.col("n") > F.col("g")) & (F.col("s") > F.col("g")), 1 / rho - 1).otherwise(F.lit(1000.0))
-    return sums.select(F.coalesce(F.greatest(F.lit(1.0), F.least(F.lit(1000.0), k)), F.lit(1000.0)).alias("k"))
+    s, g, n = groups.where("n > 0 and prior > 0 and prior < 1").agg(F.sum(spread), F.count("*"), F.sum("n")).first()
+    rho = (s - g) / (n - g) if g and n > g else 0.0
+    return groups, 1 / min(MOST_RHO, max(LEAST_RHO, rho)) - 1
+
 
+def _joined(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """``left`` with the columns of ``right``, one row for each value of ``on``; broadcast if it has few rows."""
+    return left.join(F.broadcast(right) if right.count() <= BROADCAST_HOSTS else right, on)
 
-def reputation(outcomes: DataFrame) -> DataFrame:
-    """``host, n, bad, alpha, beta``: the posterior of every host in ``outcomes`` (``host, n, bad``, one row a host)."""
+
+def reputation(outcomes: DataFrame) -> tuple[DataFrame, float]:
+    """``host, n, bad, alpha, beta``: the posterior of every host in ``outcomes`` (``host, n, bad``, one row a host); and the overall rate."""
     domain, suffix = domain_and_suffix(F.col("host"))
-    hosts = outcomes.withColumn("domain", domain).withColumn("suffix", suffix)
-    total = hosts.agg(((F.sum("bad") + 0.5) / (F.sum("n") + 1.0)).alias("prior")).select(F.coalesce("prior", F.lit(0.5)).alias("prior"))
-    suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).crossJoin(F.broadcast(total))  # one row
-    mean = (F.col("prior") * F.col("k") + F.col("bad")) / (F.col("k") + F.col("n"))
-    suffixes = suffixes.crossJoin(F.broadcast(_strength(suffixes))).select("suffix", mean.alias("prior"))
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).join(suffixes, "suffix")
-    domains = domains.crossJoin(F.broadcast(_strength(domains))).select("domain", "suffix", mean.alias("prior"))
-    hosts = hosts.join(domains, ["domain", "suffix"])
-    hosts = hosts.crossJoin(F.broadcast(_strength(hosts)))
-    return hosts.select("host", "n", "bad", (F.col("prior") * F.col("k") + F.col("bad")).alias("alpha"), ((1 - F.col("prior")) * F.col("k") + F.col("n") - F.col("bad")).alias("beta"))
+    hosts = stash(outcomes.withColumn("domain", domain).withColumn("suffix", suffix), "hosts")
+    n, bad = hosts.agg(F.coalesce(F.sum("n"), F.lit(0.0)), F.coalesce(F.sum("bad"), F.lit(0.0))).first()
+    overall = (bad + 0.5) / (n + 1.0)
+    sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
+
+    def mean(k: float) -> Column:
+        return ((F.col("prior") * k + F.col("bad")) / (F.lit(k) + F.col("n"))).alias("prior")
+
+    suffixes, k = _sums(hosts.groupBy("suffix").agg(*sums).withColumn("prior", F.lit(overall)))
+    domains = hosts.groupBy("domain", "suffix").agg(*sums)
+    domains, k = _sums(_joined(domains, suffixes.select("suffix", mean(k)), "suffix"))
+    hosts, k = _sums(_joined(hosts.drop("suffix"), domains.select("domain", mean(k)), "domain"))
+    alpha, beta = F.col("prior") * k + F.col("bad"), (1 - F.col("prior")) * k + F.col("n") - F.col("bad")
+    return hosts.select("host", "n", "bad", alpha.alias("alpha"), beta.alias("beta")), overall
 
 
 def lower_bound(alpha: Column, beta: Column, z: float = Z) -> Column:
@@ -89,7 +109,7 @@ def lower_bound(alpha: Column, beta: Column, z: float = Z) -> Column:
     return mean - z * F.sqrt(mean * (1 - mean) / (alpha + beta + 1))
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, most_bad: float = MOST_BAD) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z, worse: float = WORSE) -> DataFrame:
     """``page_id, host, path, rule, verdict, bad_rate_bound`` for every row of ``pages`` (``page_id, url``).
 
     ``outcomes`` has ``url, bad`` (1 bad, 0 not, null unknown) rows of labelled pages.
@@ -101,12 +121,12 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, z: float = Z,
     seen = labelled.select(host_and_path(F.col("url"))[0].alias("host"), F.col("bad").cast("double").alias("bad"), F.lit(1.0).alias("one"))
     unseen = rows.select("host", F.lit(0.0).alias("bad"), F.lit(0.0).alias("one"))
     counts = seen.unionByName(unseen).groupBy("host").agg(F.sum("one").alias("n"), F.sum("bad").alias("bad"))
-    hosts = reputation(counts).select("host", lower_bound(F.col("alpha"), F.col("beta"), z).alias("bad_rate_bound"))
-    n_hosts = counts.count()
-    hosts = F.broadcast(hosts) if n_hosts <= BROADCAST_HOSTS else hosts
+    hosts, overall = reputation(counts)
+    hosts = hosts.select("host", lower_bound(F.col("alpha"), F.col("beta"), z).alias("bad_rate_bound"))
     rule, by_rule = matching_rule(F.col("host"), F.col("path"), rules)
-    by_method = F.when(F.col("bad_rate_bound") > most_bad, "block").otherwise("allow")
-    return rows.join(hosts, "host").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(by_rule, by_method).alias("verdict"), "bad_rate_bound")
+    # Beyond rounding: where hosts do not differ, all bounds are the overall rate.
+    by_method = F.when(F.col("bad_rate_bound") > worse * overall + 1e-6, "block").otherwise("allow")
+    return _joined(rows, hosts, "host").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(by_rule, by_method).alias("verdict"), "bad_rate_bound")
 
 
 #: The document that a page shows, as its url names it.
@@ -123,8 +143,6 @@ def label_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return url.join(known, "doc").select("url", bad.alias("bad"))
 
 
-
-
 def oracle_sql() -> str:
     """The same judgement in DuckDB SQL, for ``pages`` and ``labels``."""
     cases = {"rule": "", "verdict": ""}
@@ -132,10 +150,10 @@ def oracle_sql() -> str:
         fits = f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
         cases["rule"] += f"WHEN {fits} THEN '{h + p}' "
         cases["verdict"] += f"WHEN {fits} THEN '{kind}' "
-    second = ", ".join(f"'{x}'" for x in SECOND_LEVEL)
+    second, shared = (", ".join(f"'{x}'" for x in names) for names in (SECOND_LEVEL, SHARED))
 
     def strength(name: str) -> str:
-        return f"""(SELECT coalesce(greatest(1.0, least(1000.0, CASE WHEN n > g AND s > g THEN 1 / ((s - g) / (n - g)) - 1 ELSE 1000.0 END)), 1000.0) AS k FROM
+        return f"""(SELECT 1 / least({MOST_RHO}, greatest({LEAST_RHO}, CASE WHEN g > 0 AND n > g THEN (s - g) / (n - g) ELSE 0.0 END)) - 1 AS k FROM
             (SELECT sum(pow(bad / n - prior, 2) * n / (prior * (1 - prior))) AS s, count(*) AS g, sum(n) AS n FROM {name} WHERE n > 0 AND prior > 0 AND prior < 1))"""
 
     mean = "(prior * k + bad) / (k + n)"
@@ -149,8 +167,9 @@ def oracle_sql() -> str:
         (SELECT host, bad::DOUBLE AS bad, 1.0::DOUBLE AS one FROM labelled WHERE bad IS NOT NULL UNION ALL SELECT host, 0.0::DOUBLE, 0.0::DOUBLE FROM rows_) GROUP BY host),
     split AS (SELECT *, string_split(host, '.') AS l FROM counts),
     hosts0 AS (SELECT host, n, bad, CASE WHEN d THEN concat_ws('.', l[-3], l[-2], l[-1]) ELSE concat_ws('.', l[-2], l[-1]) END AS domain, CASE WHEN d THEN concat_ws('.', l[-2], l[-1]) ELSE l[-1] END AS suffix
-        FROM (SELECT *, len(l) >= 3 AND length(l[-1]) = 2 AND l[-2] IN ({second}) AS d FROM split)),
-    s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT coalesce((sum(bad) + 0.5) / (sum(n) + 1.0), 0.5) FROM hosts0) AS prior FROM hosts0 GROUP BY suffix),
+        FROM (SELECT *, len(l) >= 3 AND (length(l[-1]) = 2 AND l[-2] IN ({second}) OR concat_ws('.', l[-2], l[-1]) IN ({shared})) AS d FROM split)),
+    overall AS (SELECT (coalesce(sum(bad), 0) + 0.5) / (coalesce(sum(n), 0) + 1.0) AS rate FROM hosts0),
+    s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT rate FROM overall) AS prior FROM hosts0 GROUP BY suffix),
     s1 AS (SELECT suffix, {mean} AS prior FROM s0, {strength("s0")}),
     d0 AS (SELECT domain, hosts0.suffix, sum(n) AS n, sum(bad) AS bad, any_value(prior) AS prior FROM hosts0 JOIN s1 ON hosts0.suffix = s1.suffix GROUP BY ALL),
     d1 AS (SELECT domain, suffix, {mean} AS prior FROM d0, {strength("d0")}),
@@ -158,5 +177,5 @@ def oracle_sql() -> str:
     h1 AS (SELECT host, prior * k + bad AS a, (1 - prior) * k + n - bad AS b FROM h0, {strength("h0")}),
     h2 AS (SELECT host, a / (a + b) - {Z} * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) AS bound FROM h1)
     SELECT page_id, host, path, CASE {cases["rule"]} END AS rule,
-        CASE {cases["verdict"]} WHEN bound > {MOST_BAD} THEN 'block' ELSE 'allow' END AS verdict, round(bound, 6) AS bad_rate_bound
-    FROM rows_ JOIN h2 USING (host)"""
+        CASE {cases["verdict"]} WHEN bound > {WORSE} * rate + 1e-6 THEN 'block' ELSE 'allow' END AS verdict, round(bound, 6) AS bad_rate_bound
+    FROM rows_ JOIN h2 USING (host), overall"""
