@@ -10,8 +10,10 @@ k-th largest quantised score, and all rows that could still be among the k best
 within the error bound of the quantisation (by Cauchy-Schwarz). These boundary
 rows, and no others, are resolved by their exact integer inner products.
 
-Blocks of queries meet blocks of rows by number; each pair returns the k best of
-its rows for each query (ties to the smaller id), which are then merged.
+A block's index is built once, in the one task that has the block, and the
+queries stream past it; so what is shuffled is every block once, and the queries
+once for each block. A block returns the k best of its rows for each query (ties
+to the smaller id), which are then merged.
 
 Cases: vectors that are null, or hold null or non-finite components, take no
 part; a query meets only rows of its own length; rows with the query's id are not
@@ -21,6 +23,7 @@ no rows; extra columns are ignored. Scores are exact while they fit a long.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,23 +35,33 @@ from pyspark.sql import functions as F
 from factweave.llm.common import pick, stash
 
 STEP_BITS = 4
-ROWS, QUERIES, AT_ONCE = 8192, 512, 128
+ROWS, QUERIES = 16384, 128
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``vec_id, v``: components as floor(scale * x), of vectors without null or non-finite components."""
+    """``vec_id`` (long)``, v``: components as floor(scale * x), of vectors without null or non-finite components."""
     rows = pick(vectors, vec_id=id_col, v=vector_col).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
-    rows = rows.select("vec_id", F.transform("v", lambda x: x.cast("double")).alias("v"))
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("v", lambda x: x.cast("double")).alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return rows.where(~bad).select("vec_id", F.transform("v", lambda x: F.floor(x * scale)).alias("v"))
 
 
-def _packed(rows: DataFrame, blocks: int, name: str) -> DataFrame:
-    """One row ``name, dim, ids, data`` for each block and vector length: ids and components as packed longs."""
+def _packed(rows: DataFrame, blocks: int, size: int) -> DataFrame:
+    """Rows ``number, block, dim, ids, data``: the ids and components, as packed longs, of at most ``size`` vectors of one length, by number."""
 
     def run(batches: Iterator[pa.RecordBatch]):
+        block = TaskContext.get().partitionId()
+        numbers = itertools.count(block << 32)
         ids: dict[int, list[bytes]] = {}
         data: dict[int, list[bytes]] = {}
+        held: dict[int, int] = {}
+
+        def out(dims: list[int]):
+            columns = [pa.array([next(numbers) for _ in dims], pa.int64()), pa.array([block] * len(dims), pa.int32()), pa.array(dims, pa.int32()), pa.array([b"".join(ids[d]) for d in dims], pa.binary()), pa.array([b"".join(data[d]) for d in dims], pa.binary())]
+            for d in dims:
+                del ids[d], data[d], held[d]
+            return pa.RecordBatch.from_arrays(columns, ["number", "block", "dim", "ids", "data"])
+
         for batch in batches:
             vectors = batch.column(1)
             lengths = np.diff(vectors.offsets.to_numpy())
@@ -57,14 +70,17 @@ def _packed(rows: DataFrame, blocks: int, name: str) -> DataFrame:
             own = batch.column(0).to_numpy()
             for dim in np.unique(lengths).tolist():
                 mine = np.flatnonzero(lengths == dim)
-                ids.setdefault(dim, []).append(own[mine].tobytes())
-                data.setdefault(dim, []).append(flat[(at[mine][:, None] + np.arange(dim)).ravel()].tobytes() if dim else b"")
-        number = TaskContext.get().partitionId()
-        dims = list(ids)
-        columns = [pa.array([number] * len(dims), pa.int64()), pa.array(dims, pa.int32()), pa.array([b"".join(ids[d]) for d in dims], pa.binary()), pa.array([b"".join(data[d]) for d in dims], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, [name, "dim", f"{name}_ids", f"{name}_data"])
+                for k in range(0, len(mine), size):
+                    part = mine[k : k + size]
+                    if held.get(dim, 0) + len(part) > size:
+                        yield out([dim])
+                    ids.setdefault(dim, []).append(own[part].tobytes())
+                    data.setdefault(dim, []).append(flat[(at[part][:, None] + np.arange(dim)).ravel()].tobytes() if dim else b"")
+                    held[dim] = held.get(dim, 0) + len(part)
+        if ids:
+            yield out(list(ids))
 
-    return rows.repartition(blocks).mapInArrow(run, f"{name} long, dim int, {name}_ids binary, {name}_data binary")
+    return rows.repartition(blocks).mapInArrow(run, "number long, block int, dim int, ids binary, data binary")
 
 
 class Adder:
@@ -198,25 +214,29 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
     """``query_id, rank, vec_id, score``: each row of ``queries`` against all rows of ``vectors``."""
     rows = stash(quantised(vectors, id_col, vector_col, scale), "vectors")
     asked = stash(quantised(queries, id_col, vector_col, scale), "queries")
-    row_blocks, query_blocks = max(1, -(-rows.count() // ROWS)), max(1, -(-asked.count() // QUERIES))
-    have = _packed(rows, row_blocks, "block").withColumn("query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
-    want = _packed(asked, query_blocks, "query_block").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))))
+    blocks = max(1, -(-rows.count() // ROWS))
+    have = _packed(rows, blocks, 2 * ROWS).withColumn("asks", F.lit(False))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    want = _packed(asked, max(1, -(-asked.count() // QUERIES)), QUERIES).withColumn("block", every).withColumn("asks", F.lit(True))
+    both = have.unionByName(want).repartitionById(blocks, F.col("block")).sortWithinPartitions("dim", "asks")
 
     def run(batches: Iterator[pa.RecordBatch]):
-        names = ["query_row", "query_id", "vec_id", "score"]
+        names = ["number", "row", "query_id", "vec_id", "score"]
+        dim, indexes = None, []
         for batch in batches:
-            for pair in batch.to_pylist():
-                dim = pair["dim"]
-                ids, query_ids = (np.frombuffer(pair[c], np.int64) for c in ("block_ids", "query_block_ids"))
-                data, query_data = (np.frombuffer(pair[c], np.int64).reshape(n, dim) for c, n in (("block_data", len(ids)), ("query_block_data", len(query_ids))))
-                index = Index(ids, data)
-                for at in range(0, len(query_ids), AT_ONCE):
-                    own = query_ids[at : at + AT_ONCE]
-                    who, row, score = index.best(own, query_data[at : at + AT_ONCE], k)
-                    number = (np.int64(pair["query_block"]) << 32) + at + who
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (number, own[who], index.ids[row], score)], names)
-
-    found = have.join(want, ["query_block", "block", "dim"]).mapInArrow(run, "query_row long, query_id long, vec_id long, score long")
-    best = Window.partitionBy("dim_row").orderBy(F.col("score").desc(), "vec_id")
-    found = found.withColumn("dim_row", F.struct("query_row", "query_id")).withColumn("rank", F.row_number().over(best))
+            for at in range(batch.num_rows):
+                r = batch.slice(at, 1).to_pylist()[0]
+                if r["dim"] != dim:
+                    dim, indexes = r["dim"], []
+                ids = np.frombuffer(r["ids"], np.int64)
+                data = np.frombuffer(r["data"], np.int64).reshape(len(ids), dim)
+                if not r["asks"]:
+                    indexes.append(Index(ids, data))
+                for index in indexes if r["asks"] else ():
+                    who, row, score = index.best(ids, data, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(who), r["number"]), who, ids[who], index.ids[row], score)], names)
+
+    found = both.mapInArrow(run, "number long, row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("number", "row").orderBy(F.col("score").desc(), "vec_id")
+    found = found.withColumn("rank", F.row_number().over(best))
     return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

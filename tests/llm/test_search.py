@@ -50,3 +50,22 @@ def test_adder_and_selection():
         cut = np.sort(total)[-k]
         near = np.unpackbits(bitsliced.at_least(slices, everything, np.array([cut])).view(np.uint8), bitorder="little")
         assert (near.astype(bool) == (total >= cut)).all()
+
+
+def test_many_blocks_of_rows_and_queries_and_narrow_ids(spark, monkeypatch):
+    monkeypatch.setattr(bitsliced, "ROWS", 40)
+    monkeypatch.setattr(bitsliced, "QUERIES", 7)
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(0, 0.3, 8 if i % 9 else 3).tolist(), 0, 0, 0) for i in range(330)]
+    rows += [(4, rng.normal(0, 0.3, 8).tolist(), 0, 0, 0), (4, rng.normal(0, 0.3, 3).tolist(), 0, 0, 0)]  # an id three times
+    frame = spark.createDataFrame(rows, VECTORS.replace("vec_id long", "vec_id int"))
+    got = bitsliced.top_k(frame, frame.where("vec_id % 4 = 0"))
+    assert dict(got.dtypes)["vec_id"] == "bigint"
+    assert sorted(map(tuple, got.collect())) == brute(rows)
+
+
+def test_long_vectors(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(0, 0.1, 3000).tolist(), 0, 0, 0) for i in range(30)]
+    frame = spark.createDataFrame(rows, VECTORS)
+    assert sorted(map(tuple, bitsliced.top_k(frame, frame.where("vec_id % 4 = 0")).collect())) == brute(rows)
