@@ -13,10 +13,14 @@ place) stays.
 A digest that a large part of all chunks share is looked up in a broadcast table
 (there can only be few such digests), all others by a join on the digest.
 
+A repeated passage of n words is found if its whole chunks have ``min_words`` words
+(20): of passages in random prose, 94 % at 40 words, 99 % from 50. A span may end
+up to a chunk short of its passage on either side.
+
 Cases: null or blank texts have no chunks; repeats within one document count;
-texts are read whole; repeated rows of one doc_id are separate texts with the same
-id and so repeat each other; a null doc_id comes last; empty tables give no rows;
-extra columns are ignored.
+texts are read whole; every row is a text of its own, whatever its doc_id, and
+rows of one doc_id repeat each other like others; a null doc_id comes last; empty
+tables give no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,26 +96,30 @@ def chunked(text: bytes) -> tuple[np.ndarray, ...] | None:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """``doc_id, word, words, start, stop, digest``: all chunks of all texts."""
-    names = ["doc_id", "word", "words", "start", "stop", "digest"]
+    """``doc_id, row, text, word, words, start, stop, digest``: all chunks of all texts; ``row`` numbers the rows, ``text`` is a hash of the text."""
+    names = ["doc_id", "row", "text", "word", "words", "start", "stop", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]):
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            row, parts = [], []
+            row, hashes, parts = [], [], []
             for i, text in enumerate(batch.column(1)):
-                if (found := chunked(text.as_py() or b"")) is not None:
+                raw = text.as_py() or b""
+                if (found := chunked(raw)) is not None:
                     row.append(np.full(len(found[0]), i))
+                    hashes.append(np.full(len(found[0]), xxhash.xxh3_64_intdigest(raw) >> 1))
                     parts.append(found)
             if parts:
-                ids = batch.column(0).take(pa.array(np.concatenate(row)))
+                rows = np.concatenate(row)
                 columns = [np.concatenate([p[k] for p in parts]) for k in range(5)]
-                out = [ids, *(pa.array(c, pa.int64() if k == 4 else pa.int32()) for k, c in enumerate(columns))]
+                out = [batch.column(0).take(pa.array(rows)), pa.array(rows + number), pa.array(np.concatenate(hashes)), *(pa.array(c, pa.int64() if k == 4 else pa.int32()) for k, c in enumerate(columns))]
                 yield pa.RecordBatch.from_arrays(out, names)
+            number += batch.num_rows
 
     rows = pick(docs, doc_id="doc_id", text="text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     rows = rows.select("doc_id", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, word int, words int, start int, stop int, digest long")
+    return rows.mapInArrow(run, f"doc_id {kind}, row long, text long, word int, words int, start int, stop int, digest long")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 20) -> DataFrame:
@@ -121,23 +130,24 @@ def repeated_passages(docs: DataFrame, min_words: int = 20) -> DataFrame:
     span holds words that are not a first occurrence.
     """
     all_chunks = stash(chunks(docs), "chunks")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "word")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text", "row", "word")
     seen = all_chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
-    seen = stash(seen.select("digest", "n", F.col("first.doc_id").alias("first_doc"), F.col("first.word").alias("first_word")), "digests")
+    seen = stash(seen.select("digest", "n", F.col("first.doc_id").alias("first_doc"), F.col("first.row").alias("first_row"), F.col("first.word").alias("first_word")), "digests")
     many = max(2, all_chunks.count() // HOT_SHARE)
     hot = F.broadcast(seen.where(F.col("n") > many).drop("n"))
     rare = seen.where(F.col("n") <= many).drop("n")
-    is_hot = all_chunks.join(hot, "digest", "left").withColumn("hot", F.col("first_word").isNotNull())
-    columns = ["doc_id", "word", "words", "start", "stop", "first_doc", "first_word"]
+    rows = all_chunks.drop("text")
+    is_hot = rows.join(hot, "digest", "left").withColumn("hot", F.col("first_word").isNotNull())
+    columns = ["doc_id", "row", "word", "words", "start", "stop", "first_doc", "first_row", "first_word"]
     found = is_hot.where("hot").select(*columns)
-    found = found.unionByName(is_hot.where("not hot").select(*all_chunks.columns).join(rare, "digest").select(*columns))
-    found = found.withColumn("removed", ~(F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("word") == F.col("first_word"))))
-    order = Window.partitionBy("doc_id").orderBy("word", "stop")
+    found = found.unionByName(is_hot.where("not hot").select(*rows.columns).join(rare, "digest").select(*columns))
+    found = found.withColumn("removed", (F.col("row") != F.col("first_row")) | (F.col("word") != F.col("first_word"))).drop("first_row", "first_word")
+    order = Window.partitionBy("row").orderBy("word")
     reached = F.max(F.col("word") + F.col("words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
     found = found.withColumn("opens", F.coalesce((F.col("word") > reached).cast("int"), F.lit(1)))
     found = found.withColumn("span", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    spans = found.groupBy("doc_id", "span").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("word").alias("word"), (F.max(F.col("word") + F.col("words")) - F.min("word")).alias("words"),
+    spans = found.groupBy("row", "span").agg(
+        F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("word").alias("word"), (F.max(F.col("word") + F.col("words")) - F.min("word")).alias("words"),
         F.min("first_doc").alias("first_doc_id"), F.max("removed").alias("removed"), F.sum(F.when(F.col("removed"), F.col("words")).otherwise(0)).alias("removed_words"),
     )
     return spans.where(F.col("words") >= min_words).select("doc_id", "start", "stop", "word", "words", "first_doc_id", "removed", "removed_words")

@@ -66,3 +66,44 @@ def test_exact_copies_keep_the_first(spark):
     assert set(got) == {3, 5, 9, None}
     assert not got[3]["removed"] and got[5]["removed"] and got[9]["removed"] and got[None]["removed"]
     assert all(r["words"] == 120 and r["first_doc_id"] == 3 for r in got.values())
+
+
+def test_recall_by_length_against_brute_force_and_nothing_else(spark):
+    """Planted passages of many lengths: a brute-force index of repeated four-word windows says what repeats."""
+    r = random.Random(12)
+    vocabulary = prose(99, 3000)
+    body = lambda n: r.choices(vocabulary, k=n)
+    texts, planted = {}, []
+    for n, length in enumerate([20] * 25 + [30] * 25 + [40] * 60 + [51] * 60 + [80] * 30):
+        passage = body(length)
+        for k in range(2):
+            before = body(r.randint(5, 120))
+            texts[2 * n + k] = before + passage + body(r.randint(5, 120))
+            planted.append((2 * n + k, len(before), length))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {}
+    for s in chunks.repeated_passages(docs).collect():
+        found.setdefault(s["doc_id"], []).append((s["word"], s["word"] + s["words"]))
+    windows = {}
+    for i, t in texts.items():
+        for at in range(len(t) - 3):
+            windows.setdefault(tuple(t[at : at + 4]), []).append((i, at))
+    repeated = {(i, at + k) for places in windows.values() if len(places) > 1 for i, at in places for k in range(4)}
+    for i, spans in found.items():
+        for a, b in spans:
+            assert sum((i, at) in repeated for at in range(a, b)) >= 0.9 * (b - a)  # whole chunks, most of four words or more
+    recall = {}
+    for i, at, length in planted:
+        assert all((i, at + k) in repeated for k in range(length))
+        hit = any(a < at + length and at < b for a, b in found.get(i, []))
+        recall.setdefault(length, []).append(hit)
+    recall = {n: sum(x) / len(x) for n, x in recall.items()}
+    assert recall[40] >= 0.9 and recall[51] >= 0.99 and recall[80] == 1.0, recall
+
+
+def test_rows_of_one_id_are_texts_of_their_own(spark):
+    a, b = " ".join(prose(7, 90)), " ".join(prose(8, 90))
+    rows = [(1, a, "c", "c"), (1, b, "c", "c"), (1, "x y z " + a, "c", "c"), (None, b, "c", "c"), (None, b, "c", "c")]
+    got = chunks.repeated_passages(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == 5 and sum(not r["removed"] for r in got) == 2
+    assert all(r["words"] >= 60 and r["stop"] <= max(len(a) + 6, len(b)) for r in got) and {r["first_doc_id"] for r in got} == {1}
