@@ -174,36 +174,50 @@ def _compare(batches):
         rest = np.flatnonzero(label != np.arange(len(values)))
         return values[rest].view(np.int64), values[label[rest]].view(np.int64)
 
-    def of(anchor, fp, last):
-        cut = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        ends = np.append(cut[1:], len(anchor))
-        keep = len(anchor) if last else int(cut[-1])  # the last run may go on in the next batch
-        found = [links(fp[i:j]) for i, j in zip(cut.tolist(), ends.tolist()) if j - i > 1 and i < keep]
+    def out(found):
         a, b = (np.concatenate([x[k] for x in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"]), anchor[keep:], fp[keep:]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    anchor, fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    open_, run = None, []  # the last run may go on in the next batch
     for batch in batches:
-        anchor = np.concatenate([anchor, batch.column(0).to_numpy()])
-        fp = np.concatenate([fp, batch.column(1).to_numpy()])
-        if len(anchor):
-            out, anchor, fp = of(anchor, fp, last=False)
-            yield out
-    if len(anchor):
-        yield of(anchor, fp, last=True)[0]
+        anchor, fp = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if not len(anchor):
+            continue
+        cut = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        found = []
+        for i, j in zip(cut.tolist(), np.append(cut[1:], len(anchor)).tolist()):
+            if anchor[i] != open_ and run:
+                found.append(links(np.concatenate(run)))
+                run = []
+            open_ = anchor[i]
+            run.append(fp[i:j])
+        yield out(found)
+    if run:
+        yield out([links(np.concatenate(run))])
+
+
+#: An anchor with more fingerprints is no single task; its fingerprints are linked by the values within one bit of them.
+HOT_ANCHOR = 1 << 17
+
+
+def _linked_by_values(fps: DataFrame) -> DataFrame:
+    """``a, b``: links among distinct ``fp`` of at most 2 bits: two values are so close exactly if a value is within one bit of both."""
+    around = F.concat(F.array("fp"), *(F.array(F.col("fp").bitwiseXOR(F.lit(_signed(1 << i)))) for i in range(64)))
+    near = fps.select("fp", F.explode(around).alias("value"))
+    least = near.groupBy("value").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return near.join(least, "value").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
 def fingerprint_links(distinct: DataFrame) -> DataFrame:
-    """``a, b``: links of at most 2 bits that connect what all such links connect, among distinct ``fp``."""
-    replicas = stash(distinct.select("fp").mapInArrow(_replicas, "anchor long, fp long, home boolean"), "anchors")
-    inhabited = replicas.where("home").select("anchor").distinct()
-    met = replicas.select("anchor", "fp").join(inhabited, "anchor", "left_semi")
-    # An anchor with a single fingerprint compares nothing.
-    shared = met.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    met = met.join(shared, "anchor", "left_semi")
-    spark = distinct.sparkSession
-    met = met.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "anchor").sortWithinPartitions("anchor")
-    return met.mapInArrow(_compare, "a long, b long").distinct()
+    """``a, b``: links that connect just what links of at most 2 bits connect, among distinct ``fp``."""
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Each fingerprint becomes about 60 rows, so a few of them are a task's work.
+    replicas = stash(distinct.select("fp").repartition(parts).mapInArrow(_replicas, "anchor long, fp long, home boolean"), "anchors")
+    # An anchor where nobody is at home, or with a single fingerprint, compares nothing.
+    shared = replicas.groupBy("anchor").agg(F.count("*").alias("n"), F.max("home").alias("home")).where("n > 1 and home").select("anchor", "n")
+    met = replicas.select("anchor", "fp").join(shared, "anchor")
+    found = met.where(F.col("n") <= HOT_ANCHOR).drop("n").repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_compare, "a long, b long")
+    return found.unionByName(_linked_by_values(met.where(F.col("n") > HOT_ANCHOR).select("fp").distinct())).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:

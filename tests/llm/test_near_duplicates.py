@@ -126,3 +126,31 @@ def test_stage_links_five_word_shingles_of_similarity_from_0_8(spark):
     docs = spark.createDataFrame([(i, t, "x", None) for i, t in rows], DOCS)
     got = {r[0] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
     assert got == set(want.values())
+
+
+def test_hot_anchors_and_bands_are_split_without_loss(spark, monkeypatch):
+    """With limits so low that every group is hot, the same links and components come out."""
+    import corpus_pipeline
+    from factweave.llm import shingles
+
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 40)
+    values = np.unique(np.concatenate([base, base[rng.integers(0, 40, 300)] ^ (1 << rng.integers(0, 60, 300)) ^ (1 << rng.integers(0, 60, 300))])).tolist()
+    distinct = spark.createDataFrame([(v,) for v in values], "fp long")
+    want = reachable([(a, b) for a in values for b in values if bin(a ^ b).count("1") <= 2], values)
+    for hot in (1 << 17, 1):
+        monkeypatch.setattr(simhash, "HOT_ANCHOR", hot)
+        links = [tuple(r) for r in simhash.fingerprint_links(distinct).collect()]
+        assert reachable(links, values) == want
+    rows = planted()
+    docs = spark.createDataFrame([(i, t, "x", None) for i, t in rows], DOCS)
+    kept = {r[0] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    monkeypatch.setattr(shingles, "PART", 3)
+    assert {r[0] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == kept
+
+
+def test_long_texts(spark):
+    words = [f"w{i * i % 9973}" for i in range(300_000)]
+    rows = [(0, " ".join(words), "x", None), (1, " ".join(words[:-1]), "x", None), (2, " ".join(words[:200_000]), "x", None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    assert {r["doc_id"]: r["fp"] for r in simhash.near_duplicates(docs).collect()}[0] == simhash._signed(brute_fingerprint(rows[0][1]))
