@@ -238,8 +238,9 @@ def mixed_documents(docs: DataFrame, weights=(1, 2, 3), max_epochs: int = 3, blo
     work = work.withColumn("_time", F.explode(F.sequence(F.lit(1), F.array_max(F.transform("parts", lambda x: x["times"])).cast("int"))))
     work = work.withColumn("_mine", F.filter("parts", lambda x: x["times"] >= F.col("_time")))
     count = F.aggregate("_mine", F.lit(0).cast("long"), lambda a, x: a + x["words"])
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    some = F.array_join(F.flatten(F.transform("_mine", lambda x: F.slice(words, (x["low"] + 1).cast("int"), x["words"].cast("int")))), " ")
+    # The words of a text are bound once, not found again for every part of it.
+    words = F.array(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    some = F.transform(words, lambda w: F.array_join(F.flatten(F.transform("_mine", lambda x: F.slice(w, (x["low"] + 1).cast("int"), x["words"].cast("int")))), " "))[0]
     work = work.withColumn("_text", F.when(count == F.col("size"), text).otherwise(some))
     out = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
     return work.select(*(out.get(n, F.col(f"_{i}")).alias(n) for i, n in enumerate(names)))
