@@ -31,7 +31,7 @@ BROADCAST_SOURCES = 10_000
 #: The share of the slots that are left which each phase but the last draws.
 PHASES = (0.75, 0.75, 0.75)
 #: Rounds of the index permutations.
-ROUNDS = 20
+ROUNDS = 12
 #: Running sums over shards, or over buckets of documents, go by groups of so many first.
 GROUP = 4096
 
@@ -154,6 +154,8 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def _slots(counts: DataFrame, per: DataFrame, n_sources: int, seed: int) -> DataFrame:
     """``shard, source, slot, epoch, block``: one row for each block that a shard takes."""
+    # A row becomes as many slots as a shard draws of a source, so few rows are a task's work.
+    counts = counts.repartition(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard", "source")
     slots = counts.select("shard", "source", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot")).alias("s")
     slots = slots.join(_small(per.select("source", "blocks"), n_sources).alias("p"), F.col("s.source").eqNullSafe(F.col("p.source"))).select("s.*", "blocks")
     slots = slots.withColumn("epoch", F.floor(F.col("slot") / F.col("blocks")))
