@@ -544,7 +544,17 @@ def is_point(values: pd.Series) -> pd.Series:
     return values.map(lambda v: bool((g := parse_wkt(v)) and g[0] == "Point" and g[1]), na_action="ignore")
 
 
-@arrow_udf("min_x double, min_y double, max_x double, max_y double")
-def bounds_of(values: pd.Series) -> pd.DataFrame:
-    rows = [bounds(g) if v and (g := parse_wkt(v)) and first_position(g) else (None,) * 4 for v in values]
-    return pd.DataFrame(rows, columns=["min_x", "min_y", "max_x", "max_y"])
+@arrow_udf("min_x double, min_y double, max_x double, max_y double, area double, rectangle boolean")
+def measures_of(values: pd.Series) -> pd.DataFrame:
+    """The box and area of a geometry, and whether it is its box."""
+
+    def one(v):
+        g = parse_wkt(v) if v else None
+        if not g or not first_position(g):
+            return (None,) * 6
+        box, size = bounds(g), area(g)
+        whole = (box[2] - box[0]) * (box[3] - box[1])
+        parts = polygons(g)
+        return (*box, size, len(parts) == 1 and len(parts[0]) == 1 and len(parts[0][0]) == 5 and abs(size - whole) <= 1e-9 * whole and whole > 0)
+
+    return pd.DataFrame([one(v) for v in values], columns=["min_x", "min_y", "max_x", "max_y", "area", "rectangle"])

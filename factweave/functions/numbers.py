@@ -42,7 +42,7 @@ def normalise_integer(c: Column | str, minimum: int | None = 0, maximum: int | N
 def plain_decimal(number: Column, precision: int = 6) -> Column:
     """A decimal as text: rounded half to even, without exponent or trailing zeros."""
     text = F.bround(number, precision).cast("string")
-    text = F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+    text = F.when(text.contains("."), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
     return F.when(text == "-0", "0").otherwise(text)
 
 

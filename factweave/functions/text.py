@@ -19,8 +19,14 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _ends_plain(c: Column) -> Column:
+    """Whether a text begins and ends with printable ASCII, so that there is nothing to strip; cheaper than a pattern."""
+    return F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
+
+
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), rf"{SPACE[:4]}^{SPACE[4:]}+|{SPACE[4:]}+$", "")
+    value = col(c)
+    return F.when(_ends_plain(value), value).otherwise(F.regexp_replace(value, rf"{SPACE[:4]}^{SPACE[4:]}+|{SPACE[4:]}+$", ""))
 
 
 def squeeze(c: Column | str) -> Column:

@@ -29,10 +29,33 @@ def test_dates(spark):
     assert issues == ["far-past-date", "far-future-date", "invalid date", None]
 
 
-def test_epoch_rules():
-    assert dates.parse_date("999999999")[0] == dt.date(2001, 9, 9)
-    assert dates.parse_date("99999999999")[0] == dt.date(1973, 3, 3)
-    assert dates.parse_date("123")[0] is None
+def test_epoch_rules(spark):
+    assert one(spark, dates.parse_date("v"), "999999999", "99999999999", "123") == [dt.date(2001, 9, 9), dt.date(1973, 3, 3), None]
+
+
+#: Date forms in the order in which they are tried (fixed values).
+FORMS = (
+    "%Y-%m-%d", "%Y/%m/%d %H:%M:%S%z", "%Y/%m/%d %H:%M:%S+00", "%Y/%m/%d %H:%M:%S", "%Y/%m/%d %H:%M", "%Y/%m/%dT%H:%M:%S", "%Y/%m/%dT%H:%M:%S.000Z", "%Y/%m/%dT%H:%M:%S.000", "%Y/%m/%dT%H:%M:%S.%fZ", "%Y/%m/%dT%H:%M:%S.%f%z", "%Y/%m/%dT%H:%M:%S.%f",
+    "%Y/%m/%dT%H:%M:%SZ", "%Y-%m-%dT%H:%M:%S.000Z", "%Y-%m-%dT%H:%M:%S.000", "%Y-%m-%dT%H:%M:%S.%fZ", "%Y-%m-%dT%H:%M:%S.%f%z", "%Y-%m-%dT%H:%M:%S.%f", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S", "%Y/%m/%d", "%Y %m %d", "%Y.%m.%d", "%Y-%d-%m",
+    "%Y-%m", "%Y.%m", "%Y/%m", "%Y %m", "%Y", "%Y.0", "%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d-%m-%Y", "%d-%m-%y", "%d.%m.%Y", "%d.%m.%y", "%d/%m/%Y", "%d/%m/%y", "%d-%b-%Y", "%d-%b-%y", "%d %B %Y", "%a, %d %b %Y %H:%M:%S %Z", "%b %d, %Y", "%b %d, %y", "%b-%y", "%B %Y", "%m/%d/%Y",
+)
+
+
+def test_every_form_as_the_standard_library_reads_it(spark):
+    moments = [dt.datetime(2019, 1, 31, 12, 13, 14, 123456), dt.datetime(1969, 12, 1), dt.datetime(2024, 2, 29, 23, 59, 59), dt.datetime(2003, 4, 5, 6, 7, 8)]
+    values = [m.replace(tzinfo=dt.timezone.utc).strftime(form) for m in moments for form in FORMS]
+    values += [v.replace("-0", "-").replace("/0", "/") for v in values] + [v.upper() for v in values] + ["2019-13-13", "31/31/2019", "2019-02-30", "32-01-2019", "5/13/2019", "1/2/3", "20191301", "2019-1", "Feb-69", "may 5, 1968", "1 Sept 2019"]
+
+    def first(text):
+        for form in FORMS:
+            try:
+                return dt.datetime.strptime(text, form).date()
+            except ValueError:
+                continue
+        return dt.datetime.strptime(text, "%Y%m%d").date() if len(text) == 8 and text.isdigit() and text[4:6] <= "12" else None
+
+    got = one(spark, dates.parse_date("v"), *values)
+    assert [(v, g, first(v)) for v, g in zip(values, got) if g != first(v)] == []
 
 
 @pytest.mark.parametrize("values", [{"12": "12", "12.00": "12", " 012 ": "12", "+7": "7", "-0": "0", "1_000": "1000", "99999999999999999999999": "99999999999999999999999", "1.5": "", "x": "", "": ""}])
