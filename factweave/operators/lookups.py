@@ -1,8 +1,9 @@
 """Entity and reference lookups.
 
-Lookup tables are joined by one normalised key text. A table with at most
-``BROADCAST_ROWS`` rows is broadcast, a larger one shuffled. Rules over ranges of
-numbers, of which there are few, are compiled into the plan.
+Lookup tables are joined by one normalised key text; the organisations of a key
+are a map in one row, so that keys with and without one need one join. A table of
+at most ``BROADCAST_ROWS`` rows is broadcast, a larger one shuffled. Rules over
+ranges of numbers, of which there are few, are compiled into the plan.
 """
 
 from __future__ import annotations
@@ -30,11 +31,30 @@ def lookup_table(lookups: DataFrame) -> DataFrame:
     return lookups.select(key.alias("key"), q("entity").cast("string").alias("found")).groupBy("key").agg(F.max_by("found", F.expr("try_cast(found as decimal(38,0))")).alias("found"))
 
 
-def _checked(table: DataFrame) -> DataFrame:
-    small = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+def _checked(table: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """``table``, to be broadcast if it, or what it is made of and has no fewer rows, is small."""
+    small = (table if source is None else source).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return F.broadcast(table) if small else table
 
 
+def _by_organisation(table: DataFrame) -> DataFrame:
+    """``base, by``: a lookup table's keys without organisation, and what each organisation ('' for none) finds there."""
+    base, organisation = F.substring_index("key", ",", 3), F.substring_index("key", ",", -1)
+    return table.groupBy(base.alias("base")).agg(F.map_from_entries(F.collect_list(F.struct(organisation.alias("organisation"), "found"))).alias("by"))
+
+
+def _base(entry_number="", prefix="", reference="") -> Column:
+    return F.substring_index(lookup_key(entry_number, prefix, reference), ",", 3)
+
+
+def _joined(row: DataFrame, key: Column, table: DataFrame, name: str) -> DataFrame:
+    return row.withColumn("_key", key).join(table.select(F.col("base").alias("_key"), F.col("by").alias(name)), "_key", "left").drop("_key")
+
+
+def _found(by: str, organisation: Column | str) -> Column:
+    return F.nullif(F.try_element_at(F.col(by), organisation if isinstance(organisation, Column) else F.lit(organisation)), F.lit(""))
+
+
 def by_rule(prefix: Column, organisation: Column, reference: Column, rules: list[dict]) -> Column:
     """The number of the first rule (prefix, organisation, offset, entity-minimum, entity-maximum) that fits, as text."""
     number = F.when(strip(reference).rlike("^[+-]?[0-9]{1,18}$"), strip(reference).try_cast("bigint"))
@@ -50,16 +70,15 @@ def by_rule(prefix: Column, organisation: Column, reference: Column, rules: list
 
 def find_entities(row: DataFrame, lookups: DataFrame, rules: list[dict] = (), by_entry: bool = True) -> DataFrame:
     """``found`` by prefix and entry number, else prefix, organisation and reference, else prefix and reference, else a rule."""
-    table = _checked(lookup_table(lookups))
+    table = _checked(_by_organisation(lookup_table(lookups)), lookups)
     organisation = F.replace(F.coalesce(q("organisation"), F.lit("")), F.lit("local-authority-eng"), F.lit("local-authority"))
-    keys = [lookup_key("", q("prefix"), q("reference"), organisation), lookup_key("", q("prefix"), q("reference"))]
+    row = _joined(row, _base("", q("prefix"), q("reference")), table, "_by")
+    steps = [_found("_by", lookup_part(organisation)), _found("_by", "")]
     if by_entry:
-        keys.insert(0, lookup_key(q("entry_number"), q("prefix")))
-    for i, key in enumerate(keys):
-        row = row.withColumn("_key", key).join(table.select(F.col("key").alias("_key"), F.col("found").alias(f"_found{i}")), "_key", "left").drop("_key")
+        row = _joined(row, _base(q("entry_number"), q("prefix")), table, "_entry")
+        steps.insert(0, _found("_entry", ""))
     ruled = by_rule(q("prefix"), organisation, q("reference"), list(rules))
-    found = F.coalesce(*(F.nullif(F.col(f"_found{i}"), F.lit("")) for i in range(len(keys))), ruled)
-    return row.withColumn("found", found).drop(*(f"_found{i}" for i in range(len(keys))))
+    return row.withColumn("found", F.coalesce(*steps, ruled)).drop("_by", "_entry")
 
 
 def redirect(row: DataFrame, old_entities: DataFrame, column: str = "entity") -> DataFrame:
@@ -128,7 +147,10 @@ def resolve_references(facts: DataFrame, lookups: DataFrame, old_entities: DataF
     """The entity that a fact's prefix and reference name: by organisation, else without one unless the entity is owned,
     else by the prefixes of a package, else by a rule. Removed entities are not used; 301 is not followed."""
     packages = package_prefixes or {}
-    table, owned = _checked(lookup_table(lookups)), _checked(owned_entities(lookups))
+    # An owned entity is not found without its organisation; the table leaves it out there.
+    table = lookup_table(lookups).join(owned_entities(lookups), F.col("found") == F.col("_owned"), "left")
+    table = table.where(F.col("_owned").isNull() | ~F.col("key").endswith(",")).drop("_owned")
+    table = _checked(_by_organisation(table), lookups)
     organisation = F.replace(F.coalesce(q("organisation"), F.lit("")), F.lit("local-authority-eng"), F.lit("local-authority"))
     depth = max([0, *map(len, packages.values())])
     chosen, steps = facts, []
@@ -139,15 +161,12 @@ def resolve_references(facts: DataFrame, lookups: DataFrame, old_entities: DataF
             prefix = F.lit(None).cast("string")
             for k, v in packages.items():
                 prefix = F.when(q("prefix") == k, v[i - 1]).otherwise(prefix) if len(v) >= i else prefix
-        for kind, key in (("a", lookup_key("", prefix, q("reference"), organisation)), ("b", lookup_key("", prefix, q("reference")))):
-            name = f"_{kind}{i}"
-            chosen = chosen.withColumn("_key", F.when(prefix.isNotNull(), key)).join(table.select(F.col("key").alias("_key"), F.col("found").alias(name)), "_key", "left").drop("_key")
-            if kind == "b":
-                chosen = chosen.join(owned, F.col(name) == F.col("_owned"), "left").withColumn(name, F.when(F.col("_owned").isNull(), F.col(name))).drop("_owned")
-            steps.append(name)
+        name = f"_by{i}"
+        chosen = _joined(chosen, F.when(prefix.isNotNull(), _base("", prefix, q("reference"))), table, name)
+        steps += [_found(name, lookup_part(organisation)), _found(name, "")]
     ruled = by_rule(q("prefix"), organisation, q("reference"), list(rules))
     asked = (F.coalesce(q("prefix"), F.lit("")) != "") & (F.coalesce(q("reference"), F.lit("")) != "") & (F.coalesce(q("entity").cast("string"), F.lit("")) != "")
-    chosen = chosen.withColumn("_found", F.when(asked, F.coalesce(*(F.nullif(F.col(s), F.lit("")) for s in steps), ruled))).drop(*steps)
+    chosen = chosen.withColumn("_found", F.when(asked, F.coalesce(*steps, ruled))).drop(*(f"_by{i}" for i in range(depth + 1)))
     gone = _checked(old_entities.where(q("status").cast("string") == "410").select(q("old-entity").cast("string").alias("_gone")).distinct())
     chosen = chosen.join(gone, F.col("_found") == F.col("_gone"), "left")
     found = F.when(F.col("_gone").isNull(), F.col("_found"))

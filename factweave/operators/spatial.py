@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,39 +36,74 @@ def related(df: DataFrame, area_wkt: str, relation: str) -> DataFrame:
     def holds(values: pd.Series) -> pd.Series:
         return values.map(lambda v: bool((g := geo.parse_wkt(v)) and geo.first_position(g) and test(g, area)), na_action="ignore")
 
-    return df.where(F.coalesce(holds(shape(df)), F.lit(False)))
+    where = shape(df) if relation != "centroid_within" else F.coalesce(F.nullif(q("point"), F.lit("")), F.nullif(q("geometry"), F.lit("")))
+    return df.where(F.coalesce(holds(where), F.lit(False)))
+
+
+@functools.lru_cache(maxsize=4096)
+def _parsed(wkt: str) -> geo.Geometry | None:
+    """A geometry, remembered by a worker, so that one that meets many others is parsed once."""
+    return geo.parse_wkt(wkt)
 
 
 @arrow_udf("double")
 def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([geo.overlap_area(geo.parse_wkt(x), geo.parse_wkt(y)) for x, y in zip(a, b)], dtype=float)
+    return pd.Series([geo.overlap_area(_parsed(x), _parsed(y)) for x, y in zip(a, b)], dtype=float)
 
 
-@arrow_udf("boolean")
-def _touch(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([geo.intersects(geo.parse_wkt(x), geo.parse_wkt(y)) for x, y in zip(a, b)], dtype=bool)
+#: Levels of the grid; a cell's side is four times that of the level below.
+LEVELS = 9
 
 
-@arrow_udf("double")
-def area_of(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: geo.area(g) if v and (g := geo.parse_wkt(v)) else None, na_action="ignore").astype(float)
+def _box_pairs(shapes: DataFrame, cell: float) -> DataFrame:
+    """Pairs ``a, b`` (structs ``entity, box``) whose boxes touch, each once, the smaller entity first.
+
+    A box is kept at the level whose cells are as large as it, where it covers at most four, and looks for others at
+    this level and at all above, where it covers at most four again. So a pair meets at the level of the larger, in
+    the one cell that holds the lower left corner of the boxes' intersection, and the number of rows does not
+    depend on how large boxes are.
+    """
+    side = F.greatest(F.col("box.max_x") - F.col("box.min_x"), F.col("box.max_y") - F.col("box.min_y"))
+    level = F.lit(LEVELS - 1)
+    for k in range(LEVELS - 2, -1, -1):
+        level = F.when(side <= cell * 4**k, F.lit(k)).otherwise(level)
+    shapes = shapes.select(F.struct("entity", "box").alias("own"), level.alias("level"))
+    sizes = F.array(*(F.lit(cell * 4**k) for k in range(LEVELS)))
+
+    def placed(df: DataFrame, at: str, name: str) -> DataFrame:
+        size = F.get(sizes, F.col(at))
+        low_x, high_x, low_y, high_y = (F.floor(F.col(f"own.box.{c}") / size) for c in ("min_x", "max_x", "min_y", "max_y"))
+        df = df.withColumn("cx", F.explode(F.sequence(low_x, high_x))).withColumn("cy", F.explode(F.sequence(low_y, high_y)))
+        return df.withColumnRenamed("own", name)
+
+    kept = placed(shapes, "level", "a")
+    asks = placed(shapes.withColumnRenamed("level", "own_level").withColumn("level", F.explode(F.sequence(F.col("own_level"), F.lit(LEVELS - 1)))), "level", "b")
+    met = kept.join(asks, ["level", "cx", "cy"]).where("own_level < level or a.entity < b.entity")
+    met = met.where("a.box.min_x <= b.box.max_x and b.box.min_x <= a.box.max_x and a.box.min_y <= b.box.max_y and b.box.min_y <= a.box.max_y")
+    size = F.get(sizes, F.col("level"))
+    corner = (F.floor(F.greatest("a.box.min_x", "b.box.min_x") / size) == F.col("cx")) & (F.floor(F.greatest("a.box.min_y", "b.box.min_y") / size) == F.col("cy"))
+    turned = F.col("a.entity") > F.col("b.entity")
+    return met.where(corner).select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"))
 
 
 def duplicate_geometries(entities: DataFrame, cell: float = 0.05, threshold: float = 0.95) -> DataFrame:
     """Pairs of entities whose areas overlap, ``kind`` two-way, one-way or any by the share of each that is covered.
 
-    Each geometry is placed in the grid cells of its box; a pair meets in the one cell that holds the lower left corner of
-    its boxes' intersection, so it is tested once. Geometries are small next to a cell, or cover several.
+    Only boxes and areas travel through the grid. Of pairs of rectangles they tell the overlap; the others fetch
+    their geometries then.
     """
-    shapes = entities.where("geometry <> ''").select("entity", "geometry").withColumn("box", geo.bounds_of("geometry")).where("box.min_x is not null")
-    low_x, high_x, low_y, high_y = (F.floor(F.col(f"box.{c}") / cell) for c in ("min_x", "max_x", "min_y", "max_y"))
-    placed = shapes.withColumn("cx", F.explode(F.sequence(low_x, high_x))).withColumn("cy", F.explode(F.sequence(low_y, high_y)))
-    a, b = placed.alias("a"), placed.alias("b")
-    pairs = a.join(b, ["cx", "cy"]).where("a.entity < b.entity and a.box.min_x <= b.box.max_x and b.box.min_x <= a.box.max_x and a.box.min_y <= b.box.max_y and b.box.min_y <= a.box.max_y")
-    corner = (F.floor(F.greatest("a.box.min_x", "b.box.min_x") / cell) == F.col("cx")) & (F.floor(F.greatest("a.box.min_y", "b.box.min_y") / cell) == F.col("cy"))
-    pairs = pairs.where(corner).select(F.col("a.entity").alias("entity_a"), F.col("b.entity").alias("entity_b"), F.col("a.geometry").alias("geometry_a"), F.col("b.geometry").alias("geometry_b"))
-    pairs = pairs.withColumn("common", _overlap("geometry_a", "geometry_b")).where("common > 0")
-    pairs = pairs.withColumn("share_a", F.col("common") / area_of("geometry_a")).withColumn("share_b", F.col("common") / area_of("geometry_b"))
+    shapes = entities.where("geometry <> ''").select("entity", "geometry")
+    boxes = shapes.select("entity", geo.measures_of("geometry").alias("box")).where("box.min_x is not null")
+    pairs = _box_pairs(boxes, cell)
+    width = F.least("a.box.max_x", "b.box.max_x") - F.greatest("a.box.min_x", "b.box.min_x")
+    height = F.least("a.box.max_y", "b.box.max_y") - F.greatest("a.box.min_y", "b.box.min_y")
+    pairs = pairs.withColumn("plain", F.col("a.box.rectangle") & F.col("b.box.rectangle"))
+    pairs = pairs.select(F.col("a.entity").alias("entity_a"), F.col("b.entity").alias("entity_b"), F.col("a.box.area").alias("area_a"), F.col("b.box.area").alias("area_b"), "plain", (width * height).alias("common"))
+    known = pairs.where("plain")
+    texts = [shapes.select(F.col("entity").alias(f"entity_{k}"), F.col("geometry").alias(f"geometry_{k}")) for k in "ab"]
+    rest = pairs.where("not plain").join(texts[0], "entity_a").join(texts[1], "entity_b").withColumn("common", _overlap("geometry_a", "geometry_b")).select(known.columns)
+    pairs = known.unionByName(rest).where("common > 0")
+    pairs = pairs.withColumn("share_a", F.col("common") / F.col("area_a")).withColumn("share_b", F.col("common") / F.col("area_b"))
     both, either = (F.least("share_a", "share_b") >= threshold), (F.greatest("share_a", "share_b") >= threshold)
     kind = F.when(both, "two-way").when(either, "one-way").otherwise("any")
     return pairs.select("entity_a", "entity_b", "share_a", "share_b", kind.alias("kind"))
