@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from factweave.functions.arrow import arrow_udf
 from factweave.functions import geo, jsons
 from factweave.functions.text import mapped
+from factweave.operators.numbering import numbered
 from factweave.operators.rows import condition, field_list, q
 
 #: Severities from worst to least (fixed values).
@@ -46,11 +47,18 @@ def cell(name: str) -> Column:
     return F.trim(F.coalesce(q(name).cast("string"), F.lit("")))
 
 
-def verdict(failures: DataFrame, good: str, bad: str, limit: int | None = None) -> Verdict:
-    """A check's outcome; ``bad`` may use ``{n}``. Details hold the failing rows, of which ``limit`` can bound the number."""
-    n = failures.count()
-    rows = [r.asDict() for r in (failures if limit is None else failures.limit(limit)).collect()] if n else []
-    return Verdict(n == 0, good if n == 0 else bad.format(n=n), {"invalid_rows": rows})
+#: A verdict's details hold at most so many failing rows, which is what the driver gathers; the message tells their number.
+DETAILS = 10_000
+
+
+def verdict(failures: DataFrame, good: str, bad: str, limit: int = DETAILS, by: list[str] = ()) -> Verdict:
+    """A check's outcome; ``bad`` may use ``{n}``. Details hold the failing rows, by line or in the order of ``by``: all of them up to ``limit``, beyond it
+    the first and how many there are. The failing rows as a table, whatever their number, are what the checks themselves return."""
+    order = [c for c in (*by, "line_number", "field", "value") if c in failures.columns]
+    rows = [r.asDict() for r in failures.orderBy(*order).limit(limit + 1).collect()] if order else [r.asDict() for r in failures.limit(limit + 1).collect()]
+    n = len(rows) if len(rows) <= limit else failures.count()
+    details = {"invalid_rows": rows[:limit]} | ({"invalid_row_count": n} if n > limit else {})
+    return Verdict(n == 0, good if n == 0 else bad.format(n=n), details)
 
 
 # ---- tables ----
@@ -73,26 +81,34 @@ def shared_values(df: DataFrame, one: str, two: str) -> DataFrame:
     return df.select(q(one).alias("value")).where("value <> ''").distinct().join(df.select(q(two).alias("value")).distinct(), "value", "left_semi")
 
 
-def overlapping_ranges(df: DataFrame, low: str, high: str, bin_size: int | None = None) -> DataFrame:
+def _widths(width: Column, bin_size: int) -> tuple[list[int], Column]:
+    """Sizes of bins, in steps of a thousand, and the one by which a range of some width is covered with at most a thousand."""
+    sizes = [bin_size * 1000**k for k in range(6) if bin_size * 1000**k < 1 << 62]
+    size = F.lit(sizes[-1])
+    for s in reversed(sizes[:-1]):
+        size = F.when(width < s * 1000.0, F.lit(s)).otherwise(size)
+    return sizes, size
+
+
+def overlapping_ranges(df: DataFrame, low: str, high: str, bin_size: int = 64) -> DataFrame:
     """Pairs of ranges that overlap or touch, ``min_a, max_a, min_b, max_b``; ranges of equal minimum are no pair.
 
-    A range is placed in the bins that it covers, and pairs meet in the bin of the later range's start, once. The bin
-    is as wide as the mean range unless given, so few ranges share one.
+    A range is placed in the bins that it covers, which are wider for wide ranges, and looks for others by its start in the
+    bins of every width. So pairs meet once, in the bin of the later range's start.
     """
     ranges = df.select(q(low).try_cast("bigint").alias("low"), q(high).try_cast("bigint").alias("high")).where("low is not null and high is not null")
-    if bin_size is None:
-        mean = ranges.agg(F.avg(F.col("high").cast("double") - F.col("low"))).first()[0] or 0.0
-        bin_size = max(1, int(mean) + 1)
-    cover = F.sequence(F.floor(F.col("low") / bin_size), F.floor(F.greatest("low", "high") / bin_size))
-    a = ranges.select(F.col("low").alias("min_a"), F.col("high").alias("max_a"), F.explode(cover).alias("bin"))
-    b = ranges.select(F.col("low").alias("min_b"), F.col("high").alias("max_b"), F.floor(F.col("low") / bin_size).alias("bin"))
-    return a.join(b, "bin").where("min_a < min_b and max_a >= min_b").drop("bin")
+    sizes, size = _widths(F.col("high").cast("double") - F.col("low"), bin_size)
+    a = ranges.where("low <= high").withColumn("size", size).withColumn("bin", F.explode(F.sequence(F.floor(F.col("low") / F.col("size")), F.floor(F.col("high") / F.col("size")))))
+    b = ranges.withColumn("size", F.explode(F.array(*(F.lit(s) for s in sizes)))).withColumn("bin", F.floor(F.col("low") / F.col("size")))
+    a = a.select("size", "bin", F.col("low").alias("min_a"), F.col("high").alias("max_a"))
+    b = b.select("size", "bin", F.col("low").alias("min_b"), F.col("high").alias("max_b"))
+    return a.join(b, ["size", "bin"]).where("min_a < min_b and max_a >= min_b").drop("size", "bin")
 
 
 def not_allowed(df: DataFrame, name: str, allowed: list[str]) -> DataFrame:
     """``line_number, value`` of values outside a list; the line number counts the failing rows from 2, as the check defines it."""
     failing = df.select(F.col("line_number").alias("_at"), cell(name).alias("value")).where(~F.col("value").isin(allowed))
-    return failing.select((F.row_number().over(Window.orderBy("_at")) + 1).cast("bigint").alias("line_number"), "value")
+    return numbered(failing, ["_at"], "line_number", 2).select("line_number", "value")
 
 
 def blank_rows(df: DataFrame) -> DataFrame:
@@ -106,11 +122,7 @@ def blank_rows(df: DataFrame) -> DataFrame:
 
 def _outside(values: DataFrame, ranges: DataFrame, keys: list[str], bin_size: int = 1_000_000) -> DataFrame:
     """Rows of ``values`` (``value`` and keys) that no range (``low, high`` and keys) holds: an equi join on bins, then an anti join."""
-    width = F.col("high").cast("double") - F.col("low")
-    sizes = [bin_size * 1000**k for k in range(5) if bin_size * 1000**k < 1 << 62]
-    size = F.lit(sizes[-1])
-    for s in reversed(sizes[:-1]):
-        size = F.when(width < s * 1000.0, F.lit(s)).otherwise(size)
+    sizes, size = _widths(F.col("high").cast("double") - F.col("low"), bin_size)
     ranges = ranges.where("low <= high").distinct().withColumn("_size", size)
     ranges = ranges.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("low") / F.col("_size")), F.floor(F.col("high") / F.col("_size")))))
     asked = values.select("value", *keys).distinct().withColumn("_size", F.explode(F.array(*(F.lit(s) for s in sizes)))).withColumn("_bin", F.floor(F.col("value") / F.col("_size")))
@@ -153,6 +165,7 @@ def outside_owned_ranges(df: DataFrame, ranges: DataFrame, low: str, high: str,
 
 # ---- typed columns ----
 
+#: Patterns of typed values (fixed values).
 _HASH, _CURIE = r"^([a-z]+:)?[0-9a-fA-F]+$", r"^[a-z0-9-]+:[^\s:][^\s]*$"
 _CURIES = r"^[a-z0-9-]+:[^\s:;][^\s;]*(;[a-z0-9-]+:[^\s:;][^\s;]*)*$"
 _URL = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^\s/:?#]+(?::[0-9]+)?(?:[/?#][^\s]*)?$"
@@ -248,16 +261,19 @@ def deleted_entities(entities: DataFrame, facts: DataFrame, fact_resources: Data
     return mine.join(supported, "entity", "left_anti").groupBy("reference").agg(F.min("entity").alias("entity"), F.min_by("name", "entity").alias("name"))
 
 
-def required_after_event(entities: DataFrame, timetable: DataFrame, event: str, fields: list[str], today: Column | None = None) -> DataFrame:
-    """Entities of which a plan event lies before today and a required field is missing or blank.
-
-    ``timetable`` has ``json`` with plan, plan-event and event-date.
-    """
+def past_event(entities: DataFrame, timetable: DataFrame, event: str, today: Column | None = None) -> DataFrame:
+    """Entities of which a plan event lies before today, with the first such ``event_date``. ``timetable`` has ``json`` with plan, plan-event and actual-date."""
     today = F.current_date() if today is None else today
-    events = timetable.select(jsons.value_of("json", "plan").alias("reference"), jsons.value_of("json", "plan-event").alias("event"), F.try_to_date(jsons.value_of("json", "event-date")).alias("date"))
+    events = timetable.select(jsons.value_of("json", "plan").alias("reference"), jsons.value_of("json", "plan-event").alias("event"), F.try_to_date(jsons.value_of("json", "actual-date")).alias("date"))
     first = events.where((F.col("event") == event) & (F.col("date") < today)).groupBy("reference").agg(F.min("date").alias("event_date"))
+    return entities.join(first, "reference")
+
+
+def required_after_event(entities: DataFrame, timetable: DataFrame, event: str, fields: list[str], today: Column | None = None) -> DataFrame:
+    """Entities of which a plan event lies before today and a required field, a column or in ``json``, is missing or blank."""
     missing = F.array_compact(F.array(*(F.when(cell(f) == "", F.lit(f)) if f in entities.columns else F.when(jsons.is_blank("json", f), F.lit(f)) for f in fields)))
-    return entities.join(first, "reference").select("entity", "reference", "event_date", F.array_join(missing, ";").alias("missing")).where("missing <> ''")
+    past = past_event(entities, timetable, event, today)
+    return past.select("entity", "reference", "event_date", F.array_join(missing, ";").alias("missing")).where("missing <> ''")
 
 
 def old_entities_present(entities: DataFrame, old: DataFrame) -> DataFrame:
@@ -348,6 +364,35 @@ def _count_rows(df: DataFrame, expected: int, comparison_rule: str = "greater_th
 REGISTRY["count_rows"] = _count_rows
 
 
+def _external(df: DataFrame, path: str) -> DataFrame:
+    """A CSV file that a rule names, as text."""
+    options = {"header": "true", "inferSchema": "false", "quote": '"', "escape": '"', "multiLine": "true"}
+    return df.sparkSession.read.options(**options).csv(path)
+
+
+def _lookup_rules(rules: dict | None):
+    if rules is not None and not isinstance(rules, dict):
+        raise ValueError("rules must be a dictionary or None")
+    return (rules or {}).get("lookup_rules")
+
+
+def _range_verdict(failing: DataFrame, name: str) -> Verdict:
+    return verdict(failing, f"all values in '{name}' are within allowed ranges", "there were {n} out-of-range rows found", by=["field"])
+
+
+def _within_range(df: DataFrame, field: str, external_file: str, min_field: str, max_field: str, rules: dict | None = None) -> Verdict:
+    return _range_verdict(outside_ranges(df, _external(df, external_file), min_field, max_field, field, _lookup_rules(rules)), field)
+
+
+def _within_owned_range(df: DataFrame, field: str, external_file: str, min_field: str, max_field: str, lookup_dataset_field: str, range_dataset_field: str, rules: dict | None = None, dataset_aliases: dict | None = None) -> Verdict:
+    failing = outside_owned_ranges(df, _external(df, external_file), min_field, max_field, field, lookup_dataset_field, range_dataset_field, dataset_aliases, _lookup_rules(rules))
+    return _range_verdict(failing, field)
+
+
+REGISTRY["check_fields_are_within_range"] = _within_range
+REGISTRY["check_field_is_within_range_by_dataset_org"] = _within_owned_range
+
+
 def run_rules(df: DataFrame, rules: list[dict]) -> list[dict]:
     """Q35: run rules ``{operation, parameters, name, severity, ...}`` over one table; returns log entries. The scan is shared."""
     unknown = [r["operation"] for r in rules if r["operation"] not in REGISTRY]

@@ -21,7 +21,7 @@ OPEN_END = "2999-12-31"
 def winners(facts: DataFrame, resources: DataFrame | None = None) -> DataFrame:
     """Per entity and field the fact of highest priority, then the latest; ``top_priority`` is the entity's highest.
 
-    One aggregation per (entity, field) with partial sums before the shuffle, instead of a sort of all facts; the
+    Facts are ranked within (entity, field); only the best of each partition is shuffled (a window's group limit). The
     entity's priority is then taken over the winners, each of which carries the highest of its field.
     """
     if resources is not None:

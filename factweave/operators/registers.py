@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from factweave.functions.dates import register_date
 from factweave.functions.text import is_url
 from factweave.operators.lookups import lookup_key, lookup_table
+from factweave.operators.numbering import numbered
 from factweave.operators.rows import q
 
 #: Columns of the registers (fixed values).
@@ -47,17 +48,31 @@ def source_datasets(sources: DataFrame) -> Column:
     return F.coalesce(*have, F.lit(""))
 
 
-def resource_rollup(log: DataFrame, sources: DataFrame, today: str | None = None) -> DataFrame:
+def endpoint_sources(sources: DataFrame) -> DataFrame:
+    """``endpoint, o, d``: the organisations and datasets of each endpoint's sources."""
+    told = sources.select("endpoint", q("organisation"), F.explode_outer(F.split(source_datasets(sources), ";")).alias("dataset"))
+    return told.groupBy("endpoint").agg(F.collect_set(F.nullif(q("organisation"), F.lit(""))).alias("o"), F.collect_set(F.nullif("dataset", F.lit(""))).alias("d"))
+
+
+def check_endpoints(seen: DataFrame, sources: DataFrame) -> None:
+    """Every endpoint seen must have a source."""
+    lost = seen.select("endpoint").distinct().join(sources.select("endpoint"), "endpoint", "left_anti").orderBy("endpoint").limit(10).collect()
+    if lost:
+        raise ValueError(f"endpoints without a source: {[r[0] for r in lost]}")
+
+
+def resource_rollup(log: DataFrame, sources: DataFrame, today: str | None = None, strict: bool = False) -> DataFrame:
     """One row per resource: first and last day seen, and the endpoints, organisations and datasets behind it.
 
     Dates and endpoints are aggregated before the join, so the log is shuffled once and small. A resource seen today is open.
+    ``strict`` raises if an endpoint of the log has no source.
     """
     today_date = F.current_date().cast("string") if today is None else F.lit(today)
     seen = log.where("resource <> ''").withColumn("day", register_date("entry-date"))
+    if strict:
+        check_endpoints(seen, sources)
     by_pair = seen.groupBy("resource", "endpoint").agg(F.min("day").alias("start"), F.max("day").alias("end"), F.max_by("bytes", "day").alias("bytes"))
-    told = sources.select("endpoint", q("organisation"), F.explode_outer(F.split(source_datasets(sources), ";")).alias("dataset"))
-    told = told.groupBy("endpoint").agg(F.collect_set(F.nullif(q("organisation"), F.lit(""))).alias("o"), F.collect_set(F.nullif("dataset", F.lit(""))).alias("d"))
-    both = by_pair.join(told, "endpoint", "left")
+    both = by_pair.join(endpoint_sources(sources), "endpoint", "left")
     out = both.groupBy("resource").agg(
         F.max_by("bytes", "end").alias("bytes"), joined(F.flatten(F.collect_set("o"))).alias("organisations"), joined(F.flatten(F.collect_set("d"))).alias("datasets"),
         joined(F.collect_set("endpoint")).alias("endpoints"), F.min("start").alias("start-date"), F.max("end").alias("_end"),
@@ -65,20 +80,26 @@ def resource_rollup(log: DataFrame, sources: DataFrame, today: str | None = None
     return out.withColumn("end-date", F.when(F.col("_end") >= today_date, "").otherwise(F.col("_end"))).drop("_end")
 
 
-def merge_rollup(held: DataFrame, new: DataFrame, today: str | None = None) -> DataFrame:
-    """A rollup over earlier entries and new ones: endpoints are united, days widened, the rest is the newer's."""
+def merge_rollup(held: DataFrame, new: DataFrame, sources: DataFrame, today: str | None = None) -> DataFrame:
+    """A rollup over earlier entries and new ones: endpoints are united and days widened. Entries that the new log tells
+    of take its organisations and datasets; all others derive theirs anew from the sources of their endpoints, so that
+    changes of the configuration reach them. An endpoint of an earlier entry without a source raises."""
     today_date = F.current_date().cast("string") if today is None else F.lit(today)
     a, b = held.alias("a"), new.alias("b")
     both = a.join(b, F.col("a.resource") == F.col("b.resource"), "full")
     endpoints = joined(F.filter(F.concat(F.split(F.coalesce("a.endpoints", F.lit("")), ";"), F.split(F.coalesce("b.endpoints", F.lit("")), ";")), lambda x: x != ""))
-    open_ = F.coalesce(F.col("b.`end-date`") == "", F.lit(False)) | (F.col("b.resource").isNull() & (F.col("a.`end-date`") == ""))
     end = F.greatest(F.coalesce(F.col("b.`end-date`"), F.col("a.`end-date`")), F.coalesce(F.col("a.`end-date`"), F.col("b.`end-date`")))
-    return both.select(
-        F.coalesce("a.resource", "b.resource").alias("resource"), F.coalesce("b.bytes", "a.bytes").alias("bytes"), F.coalesce("b.organisations", "a.organisations").alias("organisations"),
-        F.coalesce("b.datasets", "a.datasets").alias("datasets"), endpoints.alias("endpoints"),
-        F.least(F.coalesce(F.col("a.`start-date`"), F.col("b.`start-date`")), F.coalesce(F.col("b.`start-date`"), F.col("a.`start-date`"))).alias("start-date"),
-        F.when(open_ | (end >= today_date), "").otherwise(end).alias("end-date"),
+    open_ = F.coalesce(F.col("b.`end-date`") == "", F.lit(False))
+    ended = F.when(F.col("b.resource").isNull(), F.col("a.`end-date`")).when(open_ | (end >= today_date), "").otherwise(end)
+    out = both.select(
+        F.coalesce("a.resource", "b.resource").alias("resource"), F.coalesce("b.bytes", "a.bytes").alias("bytes"), F.col("b.organisations").alias("organisations"), F.col("b.datasets").alias("datasets"), endpoints.alias("endpoints"),
+        F.least(F.coalesce(F.col("a.`start-date`"), F.col("b.`start-date`")), F.coalesce(F.col("b.`start-date`"), F.col("a.`start-date`"))).alias("start-date"), ended.alias("end-date"),
     )
+    old = out.where("organisations is null").select("resource", F.explode(F.split("endpoints", ";")).alias("endpoint")).where("endpoint <> ''")
+    check_endpoints(old, sources)
+    told = old.join(endpoint_sources(sources), "endpoint").groupBy("resource").agg(joined(F.flatten(F.collect_set("o"))).alias("_o"), joined(F.flatten(F.collect_set("d"))).alias("_d"))
+    out = out.join(told, "resource", "left").withColumn("organisations", F.coalesce("organisations", "_o", F.lit(""))).withColumn("datasets", F.coalesce("datasets", "_d", F.lit("")))
+    return out.drop("_o", "_d")
 
 
 def dataset_resources(resources: DataFrame, sources: DataFrame, today: str | None = None) -> DataFrame:
@@ -173,8 +194,8 @@ def assign_entities(missing: DataFrame, lookups: DataFrame, low: int, high: int,
         used = used.unionByName(old_entities.select(q("old-entity").alias("entity")))
     inside = used.select(q("entity").try_cast("bigint").alias("e")).where(F.col("e").between(low, high))
     top = inside.agg(F.max("e")).first()[0]
-    numbered = new.withColumn("position", (F.row_number().over(Window.orderBy("prefix", "organisation", "reference")) - 1).cast("bigint"))
-    return numbered.join(free_entities(used, low, high, (top or low - 1) + 1, new.count()), "position").select("prefix", "organisation", "reference", "entity")
+    placed = numbered(new, ["prefix", "organisation", "reference"], "position")
+    return placed.join(free_entities(used, low, high, (top or low - 1) + 1, new.count()), "position").select("prefix", "organisation", "reference", "entity")
 
 
 def redirections(pairs: DataFrame, held: DataFrame, entry_date: str) -> DataFrame:

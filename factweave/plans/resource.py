@@ -24,9 +24,11 @@ class Transformed:
 
 
 def headers_of(lines: DataFrame) -> list[str]:
-    """The first line's cells (one row to the driver)."""
-    first = lines.orderBy("line_number").select("line").first()
-    return list(dict.fromkeys(h for h in first["line"] if h is not None)) if first else []
+    """The cells of a resource's first line (one row to the driver). The lines must be of one resource."""
+    found = lines.agg(F.min_by("line", "line_number").alias("line"), F.min("resource").alias("one"), F.max("resource").alias("other")).first()
+    if found["one"] != found["other"]:
+        raise ValueError(f"lines of several resources: {found['one']}, {found['other']}; headers are bound one resource at a time")
+    return list(dict.fromkeys(h for h in found["line"] or [] if h is not None))
 
 
 def transform(

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import json
+import pickle
 import re
+import tempfile
 import time
 import zipfile
 from collections.abc import Iterator
@@ -176,7 +179,6 @@ def excel_lines(content: bytes) -> Iterator[list[str]]:
 def geopackage_lines(content: bytes) -> Iterator[list[str]]:
     """The first table of a GeoPackage or SQLite file, blobs left out."""
     import sqlite3
-    import tempfile
 
     with tempfile.NamedTemporaryFile(suffix=".sqlite") as f:
         f.write(content)
@@ -224,22 +226,49 @@ def _name(path: str) -> str:
     return re.sub(r"\.[A-Za-z0-9]{1,8}$", "", path.rstrip("/").rpartition("/")[2])
 
 
+#: Lines of a file are handed on only once the whole file is read; so many are held in memory, the rest in the worker's scratch file.
+HELD_LINES = 100_000
+
+
+def _whole(lines: Iterator[list[str]]) -> Iterator[list[str]]:
+    """The lines of a file, none of which comes out if reading fails anywhere."""
+    with tempfile.TemporaryFile() as spill:
+        held: list[list[str]] = []
+        blocks = 0
+        for line in lines:
+            held.append(line)
+            if len(held) == HELD_LINES:
+                pickle.dump(held, spill)
+                held, blocks = [], blocks + 1
+        spill.seek(0)
+        for _ in range(blocks):
+            yield from pickle.load(spill)
+        yield from held
+
+
 def scan(spark: SparkSession, path: str) -> DataFrame:
-    """The lines of all files under a path, numbered from 1 in each; the name of a file is its resource."""
+    """The lines of all files under a path, numbered from 1 in each; the name of a file is its resource.
+
+    A file that fails to convert, at whatever line, has no lines; ``conversions`` tells why.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for where, content in zip(frame["path"], frame["content"]):
-                rows = []
                 try:
-                    for number, line in enumerate(read_lines(content)[1] if content else [], 1):
-                        rows.append((_name(where), number, line))
-                        if len(rows) == 10_000:
-                            yield pd.DataFrame(rows, columns=["resource", "line_number", "line"])
-                            rows = []
+                    lines = _whole(read_lines(content)[1] if content else iter(()))
+                    first = next(lines, None)  # all is read by now
                 except Exception:  # noqa: BLE001 - told by conversions()
-                    pass
+                    continue
+                if first is None:
+                    continue
+                rows = []
+                for number, line in enumerate(itertools.chain([first], lines), 1):
+                    rows.append((_name(where), number, line))
+                    if len(rows) == 10_000:
+                        yield pd.DataFrame(rows, columns=["resource", "line_number", "line"])
+                        rows = []
                 if rows:
                     yield pd.DataFrame(rows, columns=["resource", "line_number", "line"])
 
