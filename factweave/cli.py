@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import hashlib
 import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factweave.operators import checks, registers, state
+from factweave.operators import checkpoints, checks, registers, state
 from factweave.operators.rows import q
-from factweave.plans import package, resource
-from factweave.rules import RuleTables
+from factweave.plans import add_data, package, resource
+from factweave.rules import TABLES, RuleTables
 from factweave.sources import collect, resources, sinks
 from factweave.sources import registers as scans
 from factweave.spec import Specification
@@ -76,7 +77,12 @@ def _rollup(spark, a) -> DataFrame:
 
 
 def collection_save_csv(spark, a):
-    sinks.save_csv(_rollup(spark, a), a.output, registers.SCHEMAS["resource"])
+    """The resource register; with ``--held``, an earlier one is brought up to date."""
+    sources = scans.read_csv(spark, f"{a.collection}/source.csv")
+    out = _rollup(spark, a)
+    if a.held:
+        out = registers.merge_rollup(scans.read_csv(spark, a.held), out, sources)
+    sinks.save_csv(out, a.output, registers.SCHEMAS["resource"])
 
 
 def collection_list_resources(spark, a):
@@ -131,6 +137,98 @@ def check_state(spark, a):
         raise SystemExit(f"changed: {', '.join(changed)}")
 
 
+def fetch(spark, a):
+    """One address, fetched now, with its log item."""
+    collector, now = collect.Collector(a.collection), dt.datetime.now(dt.timezone.utc)
+    endpoint = hashlib.sha256(a.url.encode()).hexdigest()
+    status = collector.fetch({"endpoint": endpoint, "endpoint-url": a.url, "plugin": a.plugin, "parameters": a.parameters}, now, refill=True)
+    print(json.dumps({"fetch_status": status, **collector.item(now, endpoint)}, indent=1))
+
+
+def _request(spark, a) -> DataFrame:
+    return scans.read_csv(spark, a.input)
+
+
+def collection_add_source(spark, a):
+    """Entries for the endpoints and sources of a request, without a fetch."""
+    held = {n: _table(spark, a.collection, n, registers.SCHEMAS[n]) for n in ("endpoint", "source")}
+    new = add_data.entries(_request(spark, a), a.collection_name, held["endpoint"], held["source"], a.entry_date or dt.date.today().isoformat())
+    both = [held[n].unionByName(df, allowMissingColumns=True) for n, df in zip(held, new)]
+    add_data.save(add_data.Addition(*both), a.collection, "")
+
+
+def _add(spark, a, confirm) -> add_data.Addition:
+    specification = Specification.load(spark, a.specification)
+    organisations = _table(spark, a.pipeline_dir, "organisation", ["organisation", "name"])
+    return add_data.add(spark, _request(spark, a), a.collection_name, a.collection, a.pipeline_dir, specification, organisations, dt.datetime.now(dt.timezone.utc), confirm)
+
+
+def add_data_command(spark, a):
+    """A request with its reports; asks before numbers are assigned and before anything is saved, unless told ``--yes``."""
+    confirm = (lambda question: True) if a.yes else (lambda question: input(f"{question} (yes/no): ") == "yes")
+    done = _add(spark, a, confirm)
+    for t in done.trials:
+        headers = resource.headers_of(resources.scan(spark, f"{a.collection}/resource/{t.resource}"))
+        organisation = t.transformed.harmonised.select("organisation").first()
+        report = {"dataset": t.dataset, "resource": t.resource, "columns": add_data.column_field_summary(t, headers, Specification.load(spark, a.specification))}
+        report["issues"] = [r.asDict() for r in add_data.issue_summary(t).collect()]
+        report["entities"] = add_data.entity_summary(t, organisation[0] if organisation else "").first().asDict()
+        print(json.dumps(report, indent=1, default=str))
+    if confirm("Save changes made in this session?"):
+        add_data.save(done, a.collection, a.pipeline_dir)
+
+
+def add_endpoints_and_lookups(spark, a):
+    """C13 without questions."""
+    add_data.save(_add(spark, a, lambda question: True), a.collection, a.pipeline_dir)
+
+
+def expectations_dataset_checkpoint(spark, a):
+    """Q34, Q35: the rules (expect.csv) of a dataset over its package."""
+    tables = {t: spark.read.parquet(f"{a.package}/{t}/dataset={a.dataset}") for t in ("entity", "fact", "fact_resource")}
+    rules = [r.asDict() for r in scans.read_csv(spark, a.rules).collect()]  # a table of rules
+    rules = [r for r in rules if a.dataset in (r.get("datasets") or r.get("dataset") or a.dataset).split(";")]
+    organisations = [r.asDict() for r in scans.read_csv(spark, a.organisations).collect()] if a.organisations else []
+    boundaries = scans.read_csv(spark, a.boundaries) if a.boundaries else None
+
+    def boundary(lpa: str) -> str | None:
+        found = boundaries.where(q("reference") == lpa).select("geometry").first() if boundaries is not None else None
+        return found[0] if found else None
+
+    context = checkpoints.Context(tables["entity"], tables["fact"], tables["fact_resource"], boundary)
+    if a.active:
+        active = scans.read_csv(spark, a.active)
+        context.active = active.select(q("organisation_entity").cast("bigint").alias("organisation_entity"), "resource")
+    if a.timetable:
+        context.timetable = spark.read.parquet(a.timetable)
+    asked, skipped = checkpoints.expectations(rules, organisations, a.weekday or dt.date.today().strftime("%A"))
+    log = checkpoints.run(context, asked, a.dataset)
+    checkpoints.save(spark, log, skipped, a.output, a.dataset)
+    print(json.dumps([{k: e[k] for k in ("operation", "organisation", "passed", "message")} for e in log], indent=1))
+
+
+def organisation_create(spark, a):
+    """C14: the organisation table of several, one row for each organisation, the last non-blank value of each column."""
+    out = None
+    for n, path in enumerate(a.input.split(";")):
+        part = scans.read_csv(spark, path).withColumn("_order", F.lit(n))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    merged = registers.merged_by_curie(out.na.fill(""), "organisation", "_order")
+    sinks.save_csv(merged, a.output, ["organisation", *sorted(c for c in merged.columns if c != "organisation")])
+
+
+def config_create(spark, a):
+    """An empty configuration store with a table for each rule table."""
+    for name in TABLES:
+        spark.createDataFrame([], "dataset string, resource string, endpoint string").write.mode("overwrite").parquet(f"{a.output}/{name}")
+
+
+def config_load(spark, a):
+    """The rule tables of a folder in a configuration store, one parquet table each."""
+    for name, df in scans.read_many(spark, a.pipeline_dir, TABLES).items():
+        sinks.save_parquet(df, f"{a.output}/{name}")
+
+
 _STATE = ("--code", "--specification", "--collection", "--pipeline-dir", "--resources")
 #: Command -> (function, required options, optional options with defaults).
 COMMANDS = {
@@ -141,7 +239,7 @@ COMMANDS = {
     "dataset-entries": (dataset_entries, ("--package", "--output"), {}),
     "dataset-entries-flattened": (dataset_entries_flattened, ("--package", "--output"), {}),
     "collect": (collect_endpoints, ("--endpoints", "--collection"), {"--refill": ""}),
-    "collection-save-csv": (collection_save_csv, ("--collection", "--output"), {}),
+    "collection-save-csv": (collection_save_csv, ("--collection", "--output"), {"--held": ""}),
     "collection-list-resources": (collection_list_resources, ("--collection",), {}),
     "collection-pipeline-makerules": (collection_pipeline_makerules, ("--collection",), {}),
     "operational-issue-save-csv": (operational_issue_save_csv, ("--input", "--output"), {}),
@@ -150,6 +248,14 @@ COMMANDS = {
     "assign-entities": (assign_entities, ("--input", "--lookups", "--low", "--high", "--output"), {}),
     "add-redirections": (add_redirections, ("--input", "--old-entities", "--entry-date", "--output"), {}),
     "organisation-check": (organisation_check, ("--input", "--output"), {"--authorities": ""}),
+    "fetch": (fetch, ("--url", "--collection"), {"--plugin": "", "--parameters": ""}),
+    "collection-add-source": (collection_add_source, ("--input", "--collection", "--collection-name"), {"--entry-date": ""}),
+    "add-data": (add_data_command, ("--input", "--collection", "--collection-name", "--pipeline-dir", "--specification"), {"--yes": ""}),
+    "add-endpoints-and-lookups": (add_endpoints_and_lookups, ("--input", "--collection", "--collection-name", "--pipeline-dir", "--specification"), {}),
+    "expectations-dataset-checkpoint": (expectations_dataset_checkpoint, ("--package", "--rules", "--output", "--dataset"), {"--organisations": "", "--boundaries": "", "--active": "", "--timetable": "", "--weekday": ""}),
+    "organisation-create": (organisation_create, ("--input", "--output"), {}),
+    "config-create": (config_create, ("--output",), {}),
+    "config-load": (config_load, ("--pipeline-dir", "--output"), {}),
     "save-state": (save_state, (*_STATE, "--output"), {}),
     "check-state": (check_state, (*_STATE, "--state"), {}),
 }

@@ -48,6 +48,11 @@ def test_scan_of_all_formats(spark, folder):
     log = {r["resource"]: r["status"] for r in resources.conversions(spark, str(folder)).collect()}
     assert log["page"] == "failed" and log["plain"] == "success" and log.get("empty", "success") == "success"
     assert resources.content_addressed(spark, str(folder)).count() in (9, 10)
+    broken = folder / "broken.json"
+    broken.write_text('{"columns": ["a"], "data": [[1], [2], 3]}')
+    assert resources.scan(spark, str(broken)).count() == 0  # no half of a file
+    assert resources.conversions(spark, str(broken)).first()["status"] == "failed"
+    assert list(resources._whole(iter([[str(i)] for i in range(250_000)]))) == [[str(i)] for i in range(250_000)]
     assert resources.numbered_csv(spark, str(folder / "latin.csv")).first()["n"] == "café"
 
 
@@ -108,6 +113,11 @@ def test_empty_resource_and_merge(spark, tmp_path):
         merge.merge_newest(merge.stream_files(spark, str(source), schema), path, ["fact"], ckpt).awaitTermination()
     got = {r["fact"]: r["value"] for r in merge.latest_snapshot(spark, path, 1).collect()}
     assert got == {"a": "2", "b": "1"}
+    spark.createDataFrame([("a", "2022", "3")], schema).coalesce(1).write.mode("append").parquet(str(source))
+    merge.merge_newest(merge.stream_files(spark, str(source), schema), path, ["fact"], ckpt).awaitTermination()
+    assert {r["fact"]: r["value"] for r in merge.latest_snapshot(spark, path, 2).collect()} == {"a": "3", "b": "1"}
+    kept = merge._generations(spark, path, 2)
+    assert sorted(map(len, kept.values())) == [1, 2]  # only the touched bucket has a second version, and none a third
 
 
 def test_stream_once_per_day(spark, tmp_path):

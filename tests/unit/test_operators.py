@@ -1,13 +1,19 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from factweave.functions import geo
+from factweave.operators import checkpoints as cp
 from factweave.operators import checks as ck
 from factweave.operators import entities as en
 from factweave.operators import facts as ft
 from factweave.operators import lookups as lk
 from factweave.operators import registers as rg
 from factweave.operators import rows as rw
+from factweave.operators import spatial as sp
 from factweave.operators import tasks as tk
+from factweave.operators.numbering import numbered
 from factweave.rules import RuleTables
 from factweave.spec import Specification
 
@@ -149,3 +155,110 @@ def test_specification():
     s = Specification({"field": [{"field": "a", "parent-field": "b"}, {"field": "b", "typology": "category"}, {"field": "c", "end-date": "2000-01-01"}], "schema-field": [{"schema": "s", "field": f} for f in "abc"], "dataset": [{"dataset": "s", "prefix": "", "entity-minimum": "1", "entity-maximum": "5"}]})
     assert s.current_fields("s") == ["a", "b", "entity"] and s.typology("a") == "category" and s.prefix("s") == "s" and s.entity_range("s") == (1, 5)
     assert s.category_fields("s") == ["a", "b"] and s.intermediate_fields("s", {"a": "old"}) == ["b", "entity", "old"]
+
+
+def test_verdicts_bound_their_details(spark):
+    failing = spark.range(50).selectExpr("id + 2 AS line_number", "'x' AS value")
+    v = ck.verdict(failing, "good", "{n} bad", limit=10)
+    assert not v.passed and v.message == "50 bad" and len(v.details["invalid_rows"]) == 10 and v.details["invalid_row_count"] == 50
+    assert ck.verdict(failing.limit(3), "good", "{n} bad").details == {"invalid_rows": [{"line_number": i, "value": "x"} for i in (2, 3, 4)]}
+
+
+def test_numbers_of_a_whole_table(spark):
+    rows = spark.range(1000).selectExpr("(id * 7919) % 1000 AS k").repartition(7)
+    got = numbered(rows, [F.col("k").desc()], "n", 2).collect()
+    assert sorted((r["k"], r["n"]) for r in got) == [(k, 1001 - k) for k in range(1000)]
+    assert numbered(rows.where("k < 0"), ["k"], "n").count() == 0
+
+
+def test_ranges_of_any_width_overlap_once(spark):
+    r = random.Random(4)
+    ranges = [(a, a + int(10 ** r.uniform(0, 9))) for a in (r.randrange(10**9) for _ in range(150))] + [(5, 3), (7, 7), (0, 10**15)]
+    got = ck.overlapping_ranges(spark.createDataFrame(ranges, "low long, high long"), "low", "high").collect()
+    want = [(*a, *b) for a in ranges for b in ranges if a[0] < b[0] and a[1] >= b[0]]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_areas_of_any_size_meet_once(spark):
+    r = random.Random(5)
+    boxes = [(x, y, x + s, y + s * r.uniform(0.5, 1)) for x, y, s in ((r.uniform(-1, 1), 51 + r.uniform(0, 1), 10 ** r.uniform(-3, 0.5)) for _ in range(120))]
+    shapes = [(i, f"POLYGON (({a} {b},{c} {b},{c} {d},{a} {d},{a} {b}))", 1) for i, (a, b, c, d) in enumerate(boxes)]
+    shapes += [(500, "POLYGON ((0 51,1 51,0.5 52,0 51))", 2), (501, "", 2), (502, None, 2)]  # a triangle fetches its geometry
+    got = {(p["entity_a"], p["entity_b"]): (p["share_a"], p["share_b"]) for p in sp.duplicate_geometries(spark.createDataFrame(shapes, "entity int, geometry string, o int")).collect()}
+    want = {}
+    for i, (_, a, _) in enumerate(shapes[:121]):
+        for _, b, _ in shapes[i + 1 : 121]:
+            one, two = geo.parse_wkt(a), geo.parse_wkt(b)
+            if (common := geo.overlap_area(one, two)) > 1e-12:
+                j = next(k for k, s, _ in shapes if s == b)
+                want[shapes[i][0], j] = (common / geo.area(one), common / geo.area(two))
+    assert set(want) <= set(got) and all(got[k][0] < 1e-6 for k in set(got) - set(want))
+    assert all(abs(got[k][n] - want[k][n]) < 1e-6 for k in want for n in (0, 1))
+
+
+def test_rollups_follow_the_sources(spark):
+    sources = spark.createDataFrame([("e1", "o:1", "d1;d2"), ("e2", "o:2", "d2"), ("e3", "o:3", "")], "endpoint string, organisation string, pipelines string")
+    schema = "resource string, bytes string, organisations string, datasets string, endpoints string, `start-date` string, `end-date` string"
+    held = spark.createDataFrame([("r1", "1", "gone", "gone", "e1;e3", "2020-01-01", "2020-02-01"), ("r2", "2", "gone", "gone", "e1", "2020-01-01", "2020-02-01")], schema)
+    new = spark.createDataFrame([("r2", "3", "o:2", "d2", "e2", "2021-01-01", "2021-02-01"), ("r3", "4", "o:2", "d2", "e2", "2021-01-01", "")], schema)
+    got = {r["resource"]: r for r in rg.merge_rollup(held, new, sources, "2026-01-01").collect()}
+    assert got["r1"]["organisations"] == "o:1;o:3" and got["r1"]["datasets"] == "d1;d2" and got["r1"]["end-date"] == "2020-02-01"
+    assert got["r2"]["endpoints"] == "e1;e2" and got["r2"]["organisations"] == "o:2" and got["r2"]["start-date"] == "2020-01-01" and got["r2"]["end-date"] == "2021-02-01"
+    assert got["r3"]["end-date"] == "" and got["r3"]["bytes"] == "4"
+    with pytest.raises(ValueError):
+        rg.merge_rollup(held, new, sources.where("endpoint <> 'e3'"), "2026-01-01").collect()
+    log = spark.createDataFrame([("r", "e9", "2020-01-01", "1")], "resource string, endpoint string, `entry-date` string, bytes string")
+    with pytest.raises(ValueError):
+        rg.resource_rollup(log, sources, "2026-01-01", strict=True)
+
+
+def test_dataset_checkpoint(spark, tmp_path):
+    square = lambda x, s: f"POLYGON (({x} 51,{x + s} 51,{x + s} {51 + s},{x} {51 + s},{x} 51))"
+    entities = spark.createDataFrame(
+        [(1, "p1", "", square(0.0, 0.1), 7, '{"phone": " ", "organisations": "o:1"}'), (2, "p2", "POINT (0.5 51.05)", "", 7, '{"phone": "1"}'), (3, "p3", "", square(0.001, 0.1), 8, "{}")],
+        "entity long, reference string, point string, geometry string, organisation_entity long, json string",
+    ).withColumn("name", F.lit("n"))
+    facts = spark.createDataFrame([("f1", 1), ("f2", 2), ("f3", 3)], "fact string, entity long")
+    found = spark.createDataFrame([("f1", "r1"), ("f2", "r2"), ("f3", "r1")], "fact string, resource string")
+    timetable = spark.createDataFrame([('{"plan": "p1", "plan-event": "proposed-plan-consultation-start", "actual-date": "2020-01-01"}',), ('{"plan": "p2", "plan-event": "proposed-plan-consultation-start", "actual-date": "2020-01-01"}',), ('{"plan": "p3", "plan-event": "other", "actual-date": "2020-01-01"}',)], "json string")
+    context = cp.Context(entities, facts, found, {"L1": square(-0.5, 0.7)}.get, spark.createDataFrame([(7, "r1")], "organisation_entity long, resource string"), timetable)
+    rules = [
+        {"operation": "count_lpa_boundary", "name": "within {{ organisation.name }}", "organisations": "o:1", "parameters": '{"lpa": "{{ organisation.lpa }}", "expected": 1, "organisation_entity": {{ organisation.entity }}}', "severity": "error"},
+        {"operation": "count_deleted_entities", "name": "deleted", "organisations": "o", "parameters": '{"expected": 0, "organisation_entity": {{ organisation.entity }}}'},
+        {"operation": "duplicate_geometry_check", "name": "twice", "organisations": "", "parameters": '{"spatial_field": "geometry"}'},
+        {"operation": "check_fields_required_after_plan_event", "name": "late", "parameters": '{"fields": ["phone"], "today": "2026-01-01"}'},
+        {"operation": "check_columns", "name": "columns", "parameters": '{"expected": {"entity": ["entity", "lost"]}}'},
+        {"operation": "duplicate_geometry_check", "name": "weekly", "schedule": "monday", "parameters": '{"spatial_field": "point"}'},
+    ]
+    organisations = [{"organisation": "o:1", "name": "One", "entity": "7", "lpa": "L1"}]
+    asked, skipped = cp.expectations(rules, organisations, "Monday")
+    assert not skipped and asked[0]["name"] == "within One"
+    log = {e["name"]: e for e in cp.run(context, asked, "thing")}
+    assert log["within One"]["passed"] == "True" and log["within One"]["message"] == "there were 1 entities found"
+    assert log["deleted"]["passed"] == "False" and "[2]" in log["deleted"]["details"]
+    assert log["twice"]["message"] == "There are 1 complete matches, 0 single matches and 0 any matches in the dataset"
+    assert log["late"]["message"].startswith("1 missing values found across 2 plans") and '"organisation": "o:1"' in log["late"]["details"]
+    assert log["columns"]["message"] == "0 out of 1 tables had expected columns" and log["weekly"]["passed"] == "True"
+    out = str(tmp_path / "log")
+    cp.save(spark, list(log.values()), [], out, "thing")
+    later, skipped = cp.expectations(rules[2:3] + rules[5:], organisations, "tuesday")
+    assert skipped == ["weekly"]
+    cp.save(spark, cp.run(context, later, "thing"), skipped, out, "thing")
+    assert sorted(r["name"] for r in spark.read.parquet(out).collect()) == ["twice", "weekly"]
+    with pytest.raises(ValueError):
+        cp.expectations([{"operation": "nothing", "name": "x"}], [], "monday")
+    with pytest.raises(ValueError):
+        cp.rule_organisations("nobody", organisations)
+
+
+def test_range_checks_by_rule(spark, tmp_path):
+    (tmp_path / "ranges.csv").write_text("low,high,dataset,organisation\n1,10,d,o\n20,30,e,o\n")
+    df = spark.createDataFrame([(2, "5", "25", "d", "o"), (3, "15", "x", "d", "o")], "line_number int, entity string, other string, dataset string, organisation string")
+    given = {"external_file": str(tmp_path / "ranges.csv"), "min_field": "low", "max_field": "high"}
+    rules = [
+        {"operation": "check_fields_are_within_range", "name": "a", "parameters": {"field": "entity,other", **given}},
+        {"operation": "check_fields_are_within_range", "name": "b", "parameters": {"field": "entity", "rules": {"lookup_rules": {"entity": "5"}}, **given}},
+        {"operation": "check_field_is_within_range_by_dataset_org", "name": "c", "parameters": {"field": "other", "lookup_dataset_field": "dataset", "range_dataset_field": "dataset", **given}},
+    ]
+    log = ck.run_rules(df, rules)
+    assert [(e["passed"], e["message"]) for e in log] == [("False", "there were 1 out-of-range rows found"), ("True", "all values in 'entity' are within allowed ranges"), ("False", "there were 1 out-of-range rows found")]
