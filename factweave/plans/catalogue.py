@@ -133,10 +133,10 @@ def fact_latest_start(t: Tables) -> DataFrame:  # J11
     return done.groupBy("fact").agg(F.max("resource_start_date").alias("resource_start_date"), F.count("*").alias("n"))
 
 
-@query(f"""WITH f AS ({EVENT_FACTS}) SELECT resource, count(DISTINCT entity) AS entity_count FROM f WHERE entity % 3 = 0 GROUP BY resource""")
+@query(f"""WITH f AS ({EVENT_FACTS}) SELECT resource, count(DISTINCT entity) AS entity_count FROM f GROUP BY resource""")
 def resource_counts(t: Tables) -> DataFrame:  # J12, A08
     f = event_facts(t)
-    return ft.counts_by_resource(f.select("entity").where("entity % 3 = 0").distinct(), f.select("fact", "entity").distinct(), f)
+    return ft.counts_by_resource(f.select("entity").distinct(), f.select("fact", "entity").distinct(), f)
 
 
 @query("""SELECT o_custkey, arg_max(o_orderkey, (d, held)) AS o_orderkey, max(d) AS entry_date FROM (SELECT *, strftime(o_orderdate, '%Y-%m-%d') || lpad(o_orderkey::VARCHAR, 12, '0') AS d, o_orderkey % 2 AS held FROM orders) GROUP BY o_custkey""")
@@ -336,6 +336,32 @@ def row_category(t: Tables) -> DataFrame:  # R09
     return t.orders.select("o_orderkey", value.alias("value"), F.array_join(bad, ";").alias("bad"))
 
 
+_HARMONISED = """SELECT o_orderkey AS entry_number, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE 'R' || o_orderkey END AS reference, CASE o_orderkey % 4 WHEN 0 THEN '1234.5' WHEN 3 THEN o_custkey::VARCHAR ELSE '' END AS amount,
+    CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END AS entry_date, CASE WHEN o_orderkey % 2 = 0 THEN 'conservation-area:town' ELSE 'o:1' END AS organisation, CASE WHEN o_orderkey % 2 = 0 THEN 'Page' ELSE 'Page_' || o_orderkey END AS wikipedia,
+    array_to_string(list_sort(list_filter([CASE o_orderkey % 4 WHEN 1 THEN 'amount:invalid decimal' WHEN 2 THEN 'amount:too small' END, CASE o_orderkey % 3 WHEN 1 THEN 'entry-date:future entry-date' WHEN 2 THEN 'entry-date:invalid date' END,
+        CASE WHEN o_orderkey % 5 = 0 THEN 'reference:missing value' END, CASE WHEN o_orderkey % 2 = 1 THEN 'wikipedia:removed URI prefix' END], lambda x: x IS NOT NULL)), ';') AS issues FROM orders"""
+
+
+@query(_HARMONISED)
+def row_harmonise(t: Tables) -> DataFrame:  # R10, R11, R13, R14, R15
+    k = F.col("o_orderkey")
+    pick = lambda n, *values: F.element_at(F.array(*(v if not isinstance(v, str) else F.lit(v) for v in values)), (k % n + 1).cast("int"))
+    row = t.orders.select(
+        k.alias("entry_number"), F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("R"), k.cast("string"))).alias("reference"), pick(4, "£1,234.50", "x", "-3", F.concat(F.col("o_custkey").cast("string"), F.lit(".0"))).alias("amount"),
+        pick(3, F.date_format("o_orderdate", "dd/MM/yyyy"), "2030-01-01", "no date").alias("entry-date"), pick(2, "town", "o:1").alias("organisation"), pick(2, "Page", F.concat(F.lit("https://en.wikipedia.org/wiki/Page_"), k.cast("string"))).alias("wikipedia"),
+    )
+    kinds = {"reference": "string", "amount": "decimal", "entry-date": "datetime", "organisation": "curie", "wikipedia": "string"}
+    done = rw.harmonise(row, kinds, "conservation-area", today=F.lit("2026-01-01").cast("date"))
+    issues = F.array_join(F.array_sort(F.transform("issues", lambda i: F.concat_ws(":", i["field"], i["issue_type"]))), ";")
+    return done.select("entry_number", "reference", "amount", F.col("entry-date").alias("entry_date"), "organisation", "wikipedia", issues.alias("issues"))
+
+
+@query("SELECT o_orderkey AS entry_number, o_custkey::VARCHAR AS entity, 'name' || o_orderkey AS name FROM orders WHERE o_custkey % 4 <> 0")
+def row_prune(t: Tables) -> DataFrame:  # R20, R23
+    row = t.orders.select(F.col("o_orderkey").alias("entry_number"), F.when(F.col("o_custkey") % 4 == 0, "").otherwise(F.col("o_custkey").cast("string")).alias("entity"), F.concat(F.lit("name"), F.col("o_orderkey").cast("string")).alias("name"), F.lit("x").alias("old-field"))
+    return rw.prune_entries(rw.prune_fields(row, ["name"]))
+
+
 @query("""SELECT s_suppkey, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE 'none' END AS notes, CASE WHEN s_suppkey % 2 = 0 THEN 'default-field' ELSE 'default-value' END AS issue FROM supplier""")
 def row_default(t: Tables) -> DataFrame:  # R16
     row = t.supplier.select("s_suppkey", F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_name")).otherwise("").alias("other"), F.lit("").alias("notes"), rw.no_issues().alias("issues"))
@@ -433,7 +459,7 @@ def range_join(t: Tables) -> DataFrame:  # J05
 @query("""SELECT c_custkey, CASE WHEN n_nationkey IN (1, 3) THEN 2 ELSE 1 END AS priority, CASE WHEN n_name IS NULL OR n_nationkey IN (1, 3) THEN 'own' ELSE n_name END AS organisation FROM customer LEFT JOIN nation ON c_custkey BETWEEN n_nationkey * 100 AND n_nationkey * 100 + 49""")
 def row_priority(t: Tables) -> DataFrame:  # R24
     ranges = t.nation.select((F.col("n_nationkey") * 100).alias("entity-minimum"), (F.col("n_nationkey") * 100 + 49).alias("entity-maximum"), F.col("n_name").alias("organisation"))
-    names = [r[0] for r in t.nation.where("n_nationkey in (1, 3)").select("n_name").collect()]
+    names = ["NATION_1", "NATION_3"]
     done = lk.prioritise(t.customer.select("c_custkey", F.col("c_custkey").alias("entity"), F.lit("own").alias("organisation")), ranges, names)
     return done.select("c_custkey", "priority", "organisation")
 
@@ -481,12 +507,12 @@ def check_shared_values(t: Tables) -> DataFrame:  # Q03, J14
     return ck.shared_values(t.lineitem.select(F.col("l_partkey").cast("string").alias("a"), F.col("l_suppkey").cast("string").alias("b")), "a", "b")
 
 
-_RANGES = "SELECT p_partkey * 10 AS low, p_partkey * 10 + p_size AS high FROM part WHERE p_partkey % 3 = 0"
+_RANGES = "SELECT p_partkey * 10 AS low, p_partkey * 10 + p_size AS high FROM part"
 
 
 @query(f"WITH r AS ({_RANGES}) SELECT a.low AS min_a, a.high AS max_a, b.low AS min_b, b.high AS max_b FROM r a JOIN r b ON a.low < b.low AND a.high >= b.low")
 def check_overlapping_ranges(t: Tables) -> DataFrame:  # Q04, J15
-    r = t.part.where("p_partkey % 3 = 0").select((F.col("p_partkey") * 10).alias("low"), (F.col("p_partkey") * 10 + F.col("p_size")).alias("high"))
+    r = t.part.select((F.col("p_partkey") * 10).alias("low"), (F.col("p_partkey") * 10 + F.col("p_size")).alias("high"))
     return ck.overlapping_ranges(r, "low", "high")
 
 
@@ -554,9 +580,9 @@ def check_summary(t: Tables) -> DataFrame:  # Q35: many rules in one scan
     return ck.summary(_typed(t), {"hash": "hash", "flag": "flag"})
 
 
-@query("SELECT o_orderkey AS line_number, strftime(o_orderdate, '%Y-%m-%d') AS value FROM orders WHERE o_orderkey % 2 = 1 AND NOT regexp_matches(strftime(o_orderdate, '%Y-%m-%d'), '-0[1-6]-')")
+@query("SELECT o_orderkey AS line_number, strftime(o_orderdate, '%Y-%m-%d') AS value FROM orders WHERE NOT regexp_matches(strftime(o_orderdate, '%Y-%m-%d'), '-0[1-6]-')")
 def check_pattern(t: Tables) -> DataFrame:  # Q22
-    rows = t.orders.where("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("line_number"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))
+    rows = t.orders.select(F.col("o_orderkey").alias("line_number"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))
     return ck.not_matching(rows, "d", "-0[1-6]-")
 
 
@@ -591,9 +617,9 @@ def check_plan_event(t: Tables) -> DataFrame:  # Q29, J18
     return ck.required_after_event(rows, table, "F", ["name", "phone"], F.lit("1996-01-01").cast("date"))
 
 
-@query("""WITH f AS (SELECT l_orderkey AS fact, l_suppkey AS entity, 'r' || (l_partkey % 4000) AS resource FROM lineitem) SELECT s_suppkey::VARCHAR AS reference, s_suppkey AS entity, s_name AS name FROM supplier WHERE s_nationkey < 12 AND s_suppkey NOT IN (SELECT entity FROM f WHERE fact IN (SELECT fact FROM f WHERE resource IN ('r0','r1','r2','r3','r4','r5','r6','r7')))""")
+@query("""WITH f AS (SELECT s_suppkey AS fact, s_suppkey AS entity, 'r' || (s_suppkey % 10) AS resource FROM supplier) SELECT s_suppkey::VARCHAR AS reference, s_suppkey AS entity, s_name AS name FROM supplier WHERE s_nationkey < 12 AND s_suppkey NOT IN (SELECT entity FROM f WHERE fact IN (SELECT fact FROM f WHERE resource IN ('r0','r1','r2','r3','r4','r5','r6','r7')))""")
 def check_deleted_entities(t: Tables) -> DataFrame:  # Q26, J21
-    f = t.lineitem.select(F.col("l_orderkey").alias("fact"), F.col("l_suppkey").alias("entity"), F.concat(F.lit("r"), (F.col("l_partkey") % 4000).cast("string")).alias("resource"))
+    f = t.supplier.select(F.col("s_suppkey").alias("fact"), F.col("s_suppkey").alias("entity"), F.concat(F.lit("r"), (F.col("s_suppkey") % 10).cast("string")).alias("resource"))
     entities = t.supplier.select(F.col("s_suppkey").alias("entity"), F.col("s_suppkey").cast("string").alias("reference"), F.col("s_name").alias("name"), F.when(F.col("s_nationkey") < 12, 1).otherwise(2).alias("organisation_entity"))
     return ck.deleted_entities(entities, f, f, t.spark.createDataFrame([(f"r{i}",) for i in range(8)], "resource string"), 1)
 
@@ -667,6 +693,38 @@ def register_latest(t: Tables) -> DataFrame:  # C17
     return rg.latest(t.customer.select("c_nationkey", "c_name", "c_custkey"), "c_nationkey", "c_custkey")
 
 
+@query("""SELECT s_name AS endpoint, CASE WHEN s_suppkey <= 5 AND s_suppkey % 2 = 0 THEN '2026-01-01' WHEN s_suppkey % 3 = 0 THEN '2020-01-01' ELSE '' END AS end_date FROM (SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey % 3 <> 0 OR s_suppkey % 2 <> 0 OR s_suppkey > 5)""")
+def register_retire(t: Tables) -> DataFrame:  # C04
+    s = t.supplier.select("s_suppkey", F.col("s_name").alias("endpoint"), F.when(F.col("s_suppkey") % 3 == 0, "2020-01-01").otherwise("").alias("end-date"))
+    keys = [r[0] for r in s.where("s_suppkey <= 5 and s_suppkey % 2 = 0").select("endpoint").collect()]  # a list of keys to retire
+    return rg.retire(s, "endpoint", keys, "2026-01-01").select("endpoint", F.col("end-date").alias("end_date"))
+
+
+@query("""WITH held AS (SELECT s_suppkey::VARCHAR AS reference, s_suppkey AS entity FROM supplier WHERE s_suppkey % 4 <> 0), top AS (SELECT max(entity) AS m FROM held)
+    SELECT 'thing' AS prefix, 'o:' || s_nationkey AS organisation, s_suppkey::VARCHAR AS reference, m + row_number() OVER (ORDER BY 'o:' || s_nationkey, s_suppkey::VARCHAR) AS entity FROM supplier, top WHERE s_suppkey % 4 = 0""")
+def register_assign(t: Tables) -> DataFrame:  # C10, C11
+    named = t.supplier.select(F.lit("thing").alias("prefix"), F.concat(F.lit("o:"), F.col("s_nationkey").cast("string")).alias("organisation"), F.col("s_suppkey").cast("string").alias("reference"), "s_suppkey")
+    lookups = named.where("s_suppkey % 4 <> 0").withColumn("entity", F.col("s_suppkey").cast("string")).drop("s_suppkey")
+    return rg.assign_entities(named.drop("s_suppkey"), lookups, 1, 10**9)
+
+
+@query("""SELECT c_custkey::VARCHAR AS old_entity, CASE WHEN c_custkey % 5 = 0 THEN '410' ELSE '301' END AS status, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE (c_custkey + 1000)::VARCHAR END AS entity FROM customer WHERE c_custkey % 5 < 2""")
+def register_redirections(t: Tables) -> DataFrame:  # C12: what is held stays, also where it is asked for again
+    k = F.col("c_custkey")
+    held = t.customer.where("c_custkey % 5 = 0").select(k.cast("string").alias("old-entity"), F.lit("410").alias("status"), F.lit("").alias("entity"), F.lit("").alias("entry-date"))
+    pairs = t.customer.where("c_custkey % 5 < 2").select(k.cast("string").alias("old-entity"), (k + 1000).cast("string").alias("entity"))
+    return rg.redirections(pairs, held, "2026-01-01").select(F.col("old-entity").alias("old_entity"), "status", "entity")
+
+
+@query("""WITH l AS (SELECT 'e' || l_orderkey % 7 AS resource FROM lineitem), r AS (SELECT 'e' || o_orderkey % 6 AS resource, CASE WHEN o_custkey % 3 = 0 THEN '' ELSE o_custkey::VARCHAR END AS entity FROM orders)
+    SELECT 'd' AS dataset, resource, line_count, coalesce(entry_count, 0) AS entry_count, coalesce(entity_count, 0) AS entity_count FROM (SELECT resource, count(*) AS line_count FROM l GROUP BY 1)
+    LEFT JOIN (SELECT resource, count(*) AS entry_count, count(DISTINCT nullif(entity, '')) AS entity_count FROM r GROUP BY 1) USING (resource)""")
+def resource_log(t: Tables) -> DataFrame:  # L04
+    lines = t.lineitem.select(F.lit("d").alias("dataset"), F.concat(F.lit("e"), (F.col("l_orderkey") % 7).cast("string")).alias("resource"))
+    rows = t.orders.select(F.concat(F.lit("e"), (F.col("o_orderkey") % 6).cast("string")).alias("resource"), F.when(F.col("o_custkey") % 3 == 0, "").otherwise(F.col("o_custkey").cast("string")).alias("entity"))
+    return tk.resource_log(rows, lines)
+
+
 # ---- tasks and issues (L05, A05, A06, J22) ----
 
 _STATUS = "CASE event_type WHEN 'error' THEN '404' WHEN 'view' THEN 'timeout' WHEN 'signup' THEN NULL ELSE '200' END"
