@@ -76,3 +76,20 @@ def test_queries_are_registered():
     assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
     assert set(entry.oracle_sql()) <= set(names) and corpus_pipeline.ORACLE_SQL is None
     assert quality.PROSE and os.path.exists(packing.tokenizer_path())
+
+
+def test_odd_rows_pass_the_stages(spark, folder):
+    """Nulls in any column, repeated rows and ids, clashing names, and no rows at all."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, Text string, _ident long"
+    words = [f"w{i}" for i in range(400)]
+    one, two = " ".join(words[:120]), " ".join(words[200:330])
+    rows = [(None, one, None, None, None, None, None), (None, one, None, None, None, None, None), (None, two, "en", "s", 1, "x", 2), (7, one + " end", None, "s", None, "x", None), (7, two, None, "s", None, None, 3), (8, None, None, None, None, None, None), (9, "", "en", "", 0, "", 0)]
+    docs = spark.createDataFrame(rows, schema)
+    for stages in (corpus_pipeline.STAGES[1:4],):
+        after, none = docs, docs.limit(0)
+        for _, stage in stages:
+            after, none = (spark.createDataFrame(stage(spark, x, folder).collect(), schema) for x in (after, none))
+            assert after.columns == docs.columns and not none.take(1)
+    kept = {r[0] for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect()}
+    assert kept <= {None, 7, 8, 9} and corpus_pipeline.pack(spark, none, folder).count() == 0
+    assert corpus_pipeline.pack(spark, after, folder).count() == after.count()
