@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from factweave.functions.numbers import result
-from factweave.functions.text import col, strip
+from factweave.functions.text import bound, col, strip
 
 FAR_PAST = dt.date(1799, 12, 31)
 FUTURE_YEARS = 50
@@ -79,13 +79,17 @@ def parse_date(c: Column | str) -> Column:
     """The date in a text, or null; quotes and commas around it do not count."""
     value = F.regexp_replace(strip(c), '^[",]+|[",]+$', "")
     # Nearly all values of a clean table are plain ISO dates.
-    plain = F.when(value.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(value, "yyyy-MM-dd"))
-    low = F.regexp_replace(F.lower(value), "[\\t\\n\\r]", " ")
-    first = _rewritten(low, REWRITES)
-    for n, month in enumerate(_MONTHS, 1):
-        for name in {month, month[:3]}:
-            first = F.replace(first, F.lit(f"-{name}-"), F.lit(f"-{n}-"))
-    return F.coalesce(plain, F.try_to_date(first, "yyyy-M-d"), F.try_to_date(_rewritten(low, ELSE), "yyyy-M-d"), _epoch(value))
+    plain = lambda v: F.when(v.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), F.try_to_date(v, "yyyy-M-d"))
+
+    def shaped(low: Column) -> Column:
+        first = _rewritten(low, REWRITES)
+        for n, month in enumerate(_MONTHS, 1):
+            for name in sorted({month, month[:3]}):
+                first = F.replace(first, F.lit(f"-{name}-"), F.lit(f"-{n}-"))
+        return F.coalesce(F.try_to_date(first, "yyyy-M-d"), F.try_to_date(_rewritten(low, ELSE), "yyyy-M-d"))
+
+    low = lambda v: F.regexp_replace(F.lower(v), "[\\t\\n\\r]", " ")
+    return bound(value, lambda v: F.coalesce(plain(v), bound(low(v), shaped), _epoch(v)))
 
 
 def far_future(today: Column | None = None) -> Column:
@@ -95,13 +99,16 @@ def far_future(today: Column | None = None) -> Column:
 def normalise_date(c: Column | str, today: Column | None = None, far_past: dt.date | None = FAR_PAST, check_future: bool = True) -> Column:
     """an ISO date, or '' with the issue ``far-past-date``, ``far-future-date`` or ``invalid date``."""
     original = col(c)
-    date = parse_date(original)
-    issue = F.when(date.isNull(), "invalid date")
-    if far_past:
-        issue = issue.when(date < F.lit(far_past), "far-past-date")
-    if check_future:
-        issue = issue.when(date > far_future(today), "far-future-date")
-    return result(F.when(issue.isNull(), date.cast("string")).otherwise(""), issue, F.when(issue.isNotNull(), original))
+
+    def judged(date: Column) -> Column:
+        issue = F.when(date.isNull(), "invalid date")
+        if far_past:
+            issue = issue.when(date < F.lit(far_past), "far-past-date")
+        if check_future:
+            issue = issue.when(date > far_future(today), "far-future-date")
+        return result(F.when(issue.isNull(), date.cast("string")).otherwise(""), issue, F.when(issue.isNotNull(), original))
+
+    return bound(parse_date(original), judged)
 
 
 #: Forms of register dates (fixed values), as Spark writes them.

@@ -19,6 +19,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, function) -> Column:
+    """``function`` of a value that is computed once, however often the function uses it."""
+    return F.transform(F.array(value), function)[0]
+
+
 def _ends_plain(c: Column) -> Column:
     """Whether a text begins and ends with printable ASCII, so that there is nothing to strip; cheaper than a pattern."""
     return F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
