@@ -50,44 +50,44 @@ SENTENCES = (
     ("cc-by-url", "creativecommons.org", rf"{_URL}by"),
     ("cc0-url", "creativecommons.org", rf"{_URL}zero"),
     ("cc0", "cc0", rf"{_UNDER}cc0"),
-    ("cc0", "zero", rf"{_UNDER}creative commons zero"),
+    ("cc0", "commons", rf"{_UNDER}creative commons zero"),
     ("cc0-waive", "waived", r"waived all copyright and related or neighboring rights"),
     ("agpl-3", "affero", rf"{_UNDER}(?:gnu )?affero general public license{_VERSION}(?:3(?:[.]0)?)?"),
     ("agpl-3", "agpl", rf"{_UNDER}(?:gnu )?agpl{_VERSION}(?:3(?:[.]0)?)?"),
-    ("lgpl", "lesser", rf"{_UNDER}(?:gnu )?lesser general public license"),
+    ("lgpl", "license", rf"{_UNDER}(?:gnu )?lesser general public license"),
     ("lgpl", "lgpl", rf"{_UNDER}(?:gnu )?lgpl(?:v?[23])?"),
-    ("gpl-3", "general", rf"{_UNDER}(?:gnu )?general public license{_VERSION}3(?:[.]0)?"),
-    ("gpl-2", "general", rf"{_UNDER}(?:gnu )?general public license{_VERSION}2(?:[.]0)?"),
+    ("gpl-3", "license", rf"{_UNDER}(?:gnu )?general public license{_VERSION}3(?:[.]0)?"),
+    ("gpl-2", "license", rf"{_UNDER}(?:gnu )?general public license{_VERSION}2(?:[.]0)?"),
     ("gpl-3", "gpl", rf"{_UNDER}(?:gnu )?gpl(?:{_VERSION}|-)3(?:[.]0)?"),
     ("gpl-2", "gpl", rf"{_UNDER}(?:gnu )?gpl(?:{_VERSION}|-)2(?:[.]0)?"),
     ("gpl-redistribute", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu general public license"),
     ("lgpl-redistribute", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license"),
     ("agpl-redistribute", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu affero general public license"),
-    ("either-3", "either", r"either version 3(?:[.]0)? of the license"),
-    ("either-2", "either", r"either version 2(?:[.][01])? of the license"),
+    ("either-3", "license", r"either version 3(?:[.]0)? of the license"),
+    ("either-2", "license", r"either version 2(?:[.][01])? of the license"),
     ("gpl-warranty", "warranty", r"is distributed in the hope that it will be useful but without any warranty"),
     ("gpl-see", "license", r"see the gnu (?:lesser |library |affero )?general public license for more details"),
     ("gpl-copy", "license", r"you should have received a copy of the gnu (?:lesser |library |affero )?general public license"),
-    ("gpl-3-title", "general", r"gnu general public license version 3 29 june 2007"),
-    ("gpl-2-title", "general", r"gnu general public license version 2 june 1991"),
+    ("gpl-3-title", "gnu", r"gnu general public license version 3 29 june 2007"),
+    ("gpl-2-title", "gnu", r"gnu general public license version 2 june 1991"),
     ("verbatim", "verbatim", r"everyone is permitted to copy and distribute verbatim copies of this license document"),
     ("apache-2", "apache", rf"{_UNDER}apache license{_VERSION}2(?:[.]0)?"),
-    ("apache-use", "compliance", r"you may not use this (?:file|work|software) except in compliance with the license"),
-    ("apache-copy", "obtain", r"you may obtain a copy of the license at"),
-    ("apache-warranty", "applicable", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache-use", "license", r"you may not use this (?:file|work|software) except in compliance with the license"),
+    ("apache-copy", "license", r"you may obtain a copy of the license at"),
+    ("apache-warranty", "license", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
     ("mpl-2", "mozilla", r"subject to the terms of the mozilla public license(?:,? v(?: ?2(?:[.]0)?)?| ?version 2(?:[.]0)?)"),
     ("mpl-2", "mozilla", rf"{_UNDER}mozilla public license{_VERSION}2(?:[.]0)?"),
     ("mpl-copy", "mpl", r"if a copy of the mpl was not distributed with this file"),
-    ("epl", "eclipse", r"made available under the terms of the eclipse public license"),
-    ("epl", "eclipse", rf"{_UNDER}eclipse public license"),
+    ("epl", "license", r"made available under the terms of the eclipse public license"),
+    ("epl", "license", rf"{_UNDER}eclipse public license"),
     ("cddl", "cddl", r"common development and distribution license.{0,20} cddl"),
-    ("ofl", "font", r"(?:licensed|available) under the sil open font license"),
-    ("artistic-2", "artistic", rf"{_UNDER}artistic license 2(?:[.]0)?"),
-    ("artistic-2", "package", r"this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
-    ("bsl-grant", "organization", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
-    ("mit-short", "mit", r"(?:released|licensed|distributed|available|covered) under (?:the )?(?:terms of )?(?:the )?mit(?: \(?expat\)?)? licen[sc]e"),
+    ("ofl", "license", r"(?:licensed|available) under the sil open font license"),
+    ("artistic-2", "license", rf"{_UNDER}artistic license 2(?:[.]0)?"),
+    ("artistic-2", "redistributed", r"this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("bsl-grant", "permission", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("mit-short", "licen", r"(?:released|licensed|distributed|available|covered) under (?:the )?(?:terms of )?(?:the )?mit(?: \(?expat\)?)? licen[sc]e"),
     ("mit-grant", "permission", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("mit-notice", "notice", r"the above copyright notice and this permission notice (?:\(?including the next paragraph\)? )?shall be included in all copies or substantial portions of the software"),
+    ("mit-notice", "permission", r"the above copyright notice and this permission notice (?:\(?including the next paragraph\)? )?shall be included in all copies or substantial portions of the software"),
     ("mit-warranty", "warranty", r"the software is provided as is without warranty of any kind express or implied"),
     ("mit-liable", "liable", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
     ("isc-grant", "permission", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
@@ -103,10 +103,10 @@ SENTENCES = (
     ("zlib-grant", "permission", r"permission is granted to anyone to use this software for any purpose including commercial applications"),
     ("zlib-origin", "misrepresented", r"the origin of this software must not be misrepresented"),
     ("zlib-altered", "altered", r"altered source versions must be plainly marked as such"),
-    ("zlib-notice", "notice", r"this notice may not be removed or altered from any source distribution"),
+    ("zlib-notice", "altered", r"this notice may not be removed or altered from any source distribution"),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
-    ("unlicense-free", "anyone", r"anyone is free to copy modify publish use compile sell or distribute this software"),
-    ("wtfpl", "want", r"do what the fuck you want to public license"),
+    ("unlicense-free", "publish", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", "fuck", r"do what the fuck you want to public license"),
     ("public-domain", "domain", r"(?:is|are|been) (?:hereby )?(?:placed|released|dedicated|put) (?:in|into|to) the public domain"),
     ("all-rights", "reserved", r"all rights reserved"),
     ("copyright", "copyright", r"copyright (?:copyright )?(?:19|20)[0-9][0-9]"),
@@ -183,7 +183,7 @@ RULES = (
 )
 
 #: Every known sentence holds one of these words; a text without any is not cut.
-HINT = "|".join(sorted({word.replace(".", "[.]") for _, word, _ in SENTENCES} | {r"[(]c[)]", "©"}))
+HINT = "|".join(sorted({word.replace(".", "[.]") if word != "cc" else r"\bcc\b" for _, word, _ in SENTENCES} | {r"[(]c[)]", "©"}))
 
 #: What is replaced before sentences are cut (in lower case), and by what; the second form is for groups.
 PREPARE = (
