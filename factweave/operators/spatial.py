@@ -86,27 +86,51 @@ def _box_pairs(shapes: DataFrame, cell: float) -> DataFrame:
     return met.where(corner).select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"))
 
 
+#: Entities of one shape that travel in one row, about.
+CHUNK = 256
+
+
 def duplicate_geometries(entities: DataFrame, cell: float = 0.05, threshold: float = 0.95) -> DataFrame:
     """Pairs of entities whose areas overlap, ``kind`` two-way, one-way or any by the share of each that is covered.
 
-    Only boxes and areas travel through the grid. Of pairs of rectangles they tell the overlap; the others fetch
-    their geometries then.
+    Only boxes and areas travel through the grid, each distinct shape once, however many entities have it. Of pairs of
+    rectangles they tell the overlap; the others fetch their geometries then. At last every pair of shapes is written
+    out for its entities, which lie in rows of about ``CHUNK``, so that shapes of many entities spread over all tasks.
     """
-    shapes = entities.where("geometry <> ''").select("entity", "geometry")
-    boxes = shapes.select("entity", geo.measures_of("geometry").alias("box")).where("box.min_x is not null")
-    pairs = _box_pairs(boxes, cell)
+    parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = entities.where("geometry <> '' and entity is not null").select("entity", "geometry", F.sha2("geometry", 256).alias("shape"))
+    drawn = rows.groupBy("shape").agg(F.count("*").alias("n"), F.first("geometry").alias("geometry"))
+    chunk = F.pmod(F.xxhash64("entity"), F.ceil(F.col("n") / CHUNK))
+    members = rows.select("entity", "shape").join(drawn.select("shape", "n"), "shape").groupBy("shape", chunk.alias("chunk")).agg(F.collect_list("entity").alias("members"))
+    shapes = drawn.select(F.col("shape").alias("entity"), "n", geo.measures_of("geometry").alias("box")).where("box.min_x is not null")
+    own = F.struct("entity", "box")
+    pairs = _box_pairs(shapes.select("entity", "box"), cell).unionByName(shapes.where("n > 1").select(own.alias("a"), own.alias("b")))
     width = F.least("a.box.max_x", "b.box.max_x") - F.greatest("a.box.min_x", "b.box.min_x")
     height = F.least("a.box.max_y", "b.box.max_y") - F.greatest("a.box.min_y", "b.box.min_y")
     pairs = pairs.withColumn("plain", F.col("a.box.rectangle") & F.col("b.box.rectangle"))
-    pairs = pairs.select(F.col("a.entity").alias("entity_a"), F.col("b.entity").alias("entity_b"), F.col("a.box.area").alias("area_a"), F.col("b.box.area").alias("area_b"), "plain", (width * height).alias("common"))
+    pairs = pairs.select(F.col("a.entity").alias("shape_a"), F.col("b.entity").alias("shape_b"), F.col("a.box.area").alias("area_a"), F.col("b.box.area").alias("area_b"), "plain", (width * height).alias("common"))
     known = pairs.where("plain")
-    texts = [shapes.select(F.col("entity").alias(f"entity_{k}"), F.col("geometry").alias(f"geometry_{k}")) for k in "ab"]
-    rest = pairs.where("not plain").join(texts[0], "entity_a").join(texts[1], "entity_b").withColumn("common", _overlap("geometry_a", "geometry_b")).select(known.columns)
+    texts = [drawn.select(F.col("shape").alias(f"shape_{k}"), F.col("geometry").alias(f"geometry_{k}")) for k in "ab"]
+    rest = pairs.where("not plain").join(texts[0], "shape_a").join(texts[1], "shape_b").withColumn("common", _overlap("geometry_a", "geometry_b")).select(known.columns)
     pairs = known.unionByName(rest).where("common > 0")
     pairs = pairs.withColumn("share_a", F.col("common") / F.col("area_a")).withColumn("share_b", F.col("common") / F.col("area_b"))
     both, either = (F.least("share_a", "share_b") >= threshold), (F.greatest("share_a", "share_b") >= threshold)
-    kind = F.when(both, "two-way").when(either, "one-way").otherwise("any")
-    return pairs.select("entity_a", "entity_b", "share_a", "share_b", kind.alias("kind"))
+    pairs = pairs.select("shape_a", "shape_b", "share_a", "share_b", F.when(both, "two-way").when(either, "one-way").otherwise("any").alias("kind"))
+    for k in "ab":
+        pairs = pairs.join(members.select(F.col("shape").alias(f"shape_{k}"), F.col("chunk").alias(f"chunk_{k}"), F.col("members").alias(f"members_{k}")), f"shape_{k}")
+    # Chunks of one shape meet once; within a chunk, so do its entities.
+    pairs = pairs.where("shape_a <> shape_b or chunk_a <= chunk_b").repartition(parts, "shape_a", "shape_b", "chunk_a", "chunk_b")
+    within = (F.col("shape_a") == F.col("shape_b")) & (F.col("chunk_a") == F.col("chunk_b"))
+    pairs = pairs.select("members_b", "share_a", "share_b", "kind", within.alias("within"), F.explode("members_a").alias("one"))
+    pairs = pairs.select("one", "share_a", "share_b", "kind", "within", F.explode("members_b").alias("other")).where("one < other or not within and one > other")
+    turned = F.col("one") > F.col("other")
+    return pairs.select(
+        F.least("one", "other").alias("entity_a"),
+        F.greatest("one", "other").alias("entity_b"),
+        F.when(turned, F.col("share_b")).otherwise(F.col("share_a")).alias("share_a"),
+        F.when(turned, F.col("share_a")).otherwise(F.col("share_b")).alias("share_b"),
+        "kind",
+    )
 
 
 def best_overlap(pairs: DataFrame) -> DataFrame:

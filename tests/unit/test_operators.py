@@ -196,6 +196,22 @@ def test_areas_of_any_size_meet_once(spark):
     assert all(abs(got[k][n] - want[k][n]) < 1e-6 for k in want for n in (0, 1))
 
 
+def test_copies_of_a_shape_meet_others_once(spark, monkeypatch):
+    """Entities of one shape are one row of the grid; every pair of them comes out, whatever the chunks that they lie in."""
+    square = "POLYGON (({0} 51,{1} 51,{1} 51.02,{0} 51.02,{0} 51))"
+    texts = [square.format(0, 0.02), square.format(0.01, 0.03), square.format(0, 4), "POLYGON ((0 51,0.02 51,0.01 51.02,0 51))", square.format(7, 8)]
+    rows = [(7 * i % 60, texts[i % 4]) for i in range(60)] + [(90, texts[4]), (7, texts[0]), (None, texts[0]), (None, texts[2])]
+    met, grid = [], sp._box_pairs
+    monkeypatch.setattr(sp, "CHUNK", 3)
+    monkeypatch.setattr(sp, "_box_pairs", lambda shapes, cell: met.append(shapes.count()) or grid(shapes, cell))
+    got = sp.duplicate_geometries(spark.createDataFrame(rows, "entity int, geometry string")).collect()
+    shapes = {t: geo.parse_wkt(t) for t in texts}
+    common = {(s, t): geo.overlap_area(shapes[s], shapes[t]) for s in texts for t in texts}
+    want = [(a, b, round(common[s, t] / geo.area(shapes[s]), 6), round(common[s, t] / geo.area(shapes[t]), 6)) for a, s in rows for b, t in rows if a is not None and b is not None and a < b and common[s, t] > 1e-12]
+    assert sorted((p["entity_a"], p["entity_b"], round(p["share_a"], 6), round(p["share_b"], 6)) for p in got) == sorted(want)
+    assert met == [5]
+
+
 def test_rollups_follow_the_sources(spark):
     sources = spark.createDataFrame([("e1", "o:1", "d1;d2"), ("e2", "o:2", "d2"), ("e3", "o:3", "")], "endpoint string, organisation string, pipelines string")
     schema = "resource string, bytes string, organisations string, datasets string, endpoints string, `start-date` string, `end-date` string"
