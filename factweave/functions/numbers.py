@@ -6,9 +6,11 @@ DECIMAL(38,18), so values need at most 20 digits before and 18 after the point.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from factweave.functions.arrow import arrow_udf
 from factweave.functions.text import col, strip
 
 INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
@@ -64,6 +66,16 @@ def normalise_coordinate(c: Column | str) -> Column:
     return normalise_decimal(c, minimum=None, drop=",")
 
 
+@arrow_udf("string")
+def _printed(values: pd.Series, places: pd.Series) -> pd.Series:
+    return pd.Series([f"{v:.{n}f}" for v, n in zip(values, places)], dtype=object)
+
+
+def printed(c: Column | str, places: int) -> Column:
+    """A double as C prints it: its exact value with so many places, ties to even, and the sign of zero. Spark's own functions round its shortest text."""
+    return F.when(col(c).isNotNull(), _printed(col(c).cast("double"), F.lit(places)))
+
+
 def whole_number(c: Column | str) -> Column:
     """A value as a whole number, cut towards zero; null where blank."""
     return F.nullif(strip(c), F.lit("")).try_cast("decimal(38,18)").cast("bigint")
