@@ -6,10 +6,12 @@ measures are roots, so that small differences near zero count. The forest
 isolates documents by random splits of all measures together; the fewer splits it
 takes, the more anomalous the document. No rule has a range of its own.
 
-A bounded sample of ``train_rows`` documents without a label, in an order by hash,
-trains the forest; at most ``train_rows`` labelled ones, which it has not seen,
-calibrate its threshold. That is the score at which the share of bad rows above it,
-less ``good_cost`` times the share of good rows above it, is largest.
+All documents without a label train the forest: they are dealt over its trees by
+hash, each to one tree, or, where that leaves a tree fewer than ``tree_rows``, to as
+many as it takes. All labelled ones, which it has not seen, calibrate its threshold.
+That is the score at which the share of bad rows above it, less ``good_cost`` times
+the share of good rows above it, is largest. The driver holds trees of bounded depth
+and the labelled rows' numbers in ``BINS`` ranges of scores, whatever their number.
 
 Cases: null or blank text has no words and fails the base rule; without labelled
 rows of good quality, or documents without a label, the forest rejects nothing,
@@ -28,10 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from factweave.llm.common import pick
+from factweave.llm.common import pick, stash
 
 LONGS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: What prose has of each measure: the value that a text of few words is drawn to, as if by so many words more.
@@ -91,6 +93,13 @@ class IsolationForest:
             mine = rows[pick_of.sample(range(len(rows)), self.size)]
             self.trees.append(self._grow(mine, pick_of, math.ceil(math.log2(max(2, self.size)))))
 
+    @classmethod
+    def of(cls, trees: list[tuple], size: int) -> IsolationForest:
+        """A forest of grown trees of ``size`` rows each on average."""
+        made = cls.__new__(cls)
+        made.trees, made.size = trees, size
+        return made
+
     @staticmethod
     def _grow(rows, pick_of, depth_limit):
         feature, cut, left, right, path = [], [], [], [], []
@@ -158,37 +167,83 @@ def calibrated(good: np.ndarray, bad: np.ndarray, good_cost: float) -> float:
     return float((cuts[at] + cuts[min(at + 1, len(cuts) - 1)]) / 2)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 8192, trees: int = 200, tree_rows: int = 256, good_cost: float = 50.0, seed: int = 42) -> Model:
-    """Train the forest on a sample of ``docs`` and calibrate its threshold on labelled rows that it has not seen.
-
-    ``labels`` has ``doc_id, quality`` (1 good, 0 bad). ``train_rows`` bounds both the
-    sample and the labelled rows, so what the driver gathers is bounded too.
+#: Ranges of scores, which lie between 0 and 1.
+BINS = 4096
+
+
+def threshold(scores: DataFrame, good_cost: float) -> float | None:
+    """What ``calibrated`` finds for the labelled rows ``score, quality``, however many; None without good ones."""
+    good, bad = (F.count(F.when(F.col("quality") == q, 1)) for q in (1, 0))
+    by = stash(scores.groupBy("score").agg(good.alias("good"), bad.alias("bad")).withColumn("bin", F.floor(F.col("score") * BINS)), "scores")
+    bins = sorted(map(tuple, by.groupBy("bin").agg(F.sum("good"), F.sum("bad")).collect()))
+    goods, bads = (sum(x[k] for x in bins) for k in (1, 2))
+    if not goods:
+        return None
+    if not bads:
+        middle, most = scores.agg(F.median("score"), F.max("score")).first()
+        return most + (most - middle) / 2
+    below = [(x[0], sum(y[1] for y in bins[:n]), sum(y[2] for y in bins[:n])) for n, x in enumerate(bins)]
+    upto = by.join(F.broadcast(by.sparkSession.createDataFrame(below, "bin long, good_below long, bad_below long")), "bin")
+    order = Window.partitionBy("bin").orderBy("score")
+    caught, lost = (1 - (F.col(f"{k}_below") + F.sum(k).over(order)) / n for k, n in (("bad", bads), ("good", goods)))
+    best = upto.select("score", (caught - good_cost * lost).alias("gain")).orderBy(F.col("gain").desc(), F.col("score").desc()).first()["score"]
+    after = by.where(F.col("score") > best).agg(F.min("score")).first()[0]
+    return (best + (best if after is None else after)) / 2
+
+
+def grown(sample: DataFrame, trees: int, tree_rows: int, seed: int) -> IsolationForest | None:
+    """A forest that every row of ``sample`` (``doc_id, v``) trains; None without rows."""
+    rows = sample.count()
+    if not rows:
+        return None
+    each = min(trees, math.ceil(trees * tree_rows / rows))  # trees of a row
+    strides = [x for x in range(1, trees + 1) if math.gcd(x, trees) == 1]
+    start = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(trees))
+    stride = F.get(F.array(*map(F.lit, strides)), F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(len(strides))).cast("int"))
+    dealt = sample.select("v", F.explode(F.transform(F.sequence(F.lit(0), F.lit(each - 1)), lambda k: F.pmod(start + k * stride, F.lit(trees)).cast("int"))).alias("tree"))
+    depth = math.ceil(math.log2(max(2, min(tree_rows, rows))))
+
+    def grow(group: pa.Table) -> pa.Table:
+        v = group["v"].combine_chunks().flatten().to_numpy().reshape(len(group), -1)
+        number = group["tree"][0].as_py()
+        parts = IsolationForest._grow(v, random.Random(f"{seed} {number}"), depth)[:5]
+        kinds = (pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.float64())
+        return pa.table([pa.array([number], pa.int32()), *(pa.array([x.tolist()], pa.list_(k)) for x, k in zip(parts, kinds))], ["tree", "feature", "cut", "left", "right", "path"])
+
+    found = dealt.groupBy("tree").applyInArrow(grow, "tree int, feature array<int>, cut array<double>, left array<int>, right array<int>, path array<double>").collect()
+    made = [(*(np.array(r[k]) for k in ("feature", "cut", "left", "right", "path")), depth) for r in sorted(found, key=lambda r: r["tree"])]
+    return IsolationForest.of(made, round(rows * each / trees))
+
+
+def fit(docs: DataFrame, labels: DataFrame, trees: int = 200, tree_rows: int = 256, good_cost: float = 50.0, seed: int = 42) -> Model:
+    """Train the forest on all of ``docs`` without a label and calibrate its threshold on all labelled rows.
+
+    ``labels`` has ``doc_id, quality`` (1 good, 0 bad).
     """
     rows = pick(docs, doc_id="doc_id", text="text").where("doc_id is not null")
-    rank = F.xxhash64(F.lit(seed), "doc_id")
-    order = [rank, F.col("doc_id")]
     known = pick(labels, doc_id="doc_id", quality="quality").where("quality in (0, 1) and doc_id is not null")
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
-    some = rows.select("doc_id").distinct().join(known.select("doc_id"), "doc_id", "left_anti").orderBy(*order).limit(train_rows).withColumn("quality", F.lit(None).cast("int"))
-    told = rows.select("doc_id").distinct().join(known.where("quality = most").select("doc_id", "quality"), "doc_id").orderBy(*order).limit(train_rows)
-    wanted = some.unionByName(told)
-    chosen = rows.join(F.broadcast(wanted), "doc_id").select("doc_id", "quality", F.col("text").cast("binary").alias("text"))
+    known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"), F.max("quality").alias("most"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            stats = [statistics(t.as_py()) for t in batch.column(2)]
-            failed = pa.array([base_failed(r[0], r[4]) for r in stats], pa.bool_())
+            stats = [statistics(t.as_py()) for t in batch.column(1)]
+            passed = pa.array([not base_failed(r[0], r[4]) for r in stats], pa.bool_())
             values = pa.array([r[len(LONGS) :] for r in stats], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), failed, values], ["doc_id", "quality", "failed", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), values], ["doc_id", "v"]).filter(passed)
+
+    def score(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            v = np.array(batch.column(1).to_pylist(), float).reshape(-1, len(PROSE))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(forest.score(v))], ["quality", "score"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = chosen.mapInArrow(run, f"doc_id {kind}, quality int, failed boolean, v array<double>").where("not failed")
-    found = found.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("v").alias("v")).orderBy(*order).collect()
-    sample, good, bad = (np.array([r["v"] for r in found if r["quality"] == q], float).reshape(-1, len(PROSE)) for q in (None, 1, 0))
-    if not len(sample) or not len(good):
+    found = rows.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {kind}, v array<double>")
+    found = stash(found.groupBy("doc_id").agg(F.min("v").alias("v")).join(known, "doc_id", "left").where("most is null or quality = most").select("doc_id", "quality", "v"), "measures")
+    forest = grown(found.where("quality is null").select("doc_id", "v"), trees, tree_rows, seed)
+    if not forest:
         return Model()
-    forest = IsolationForest(sample, trees, tree_rows, seed)
-    return Model(forest, calibrated(forest.score(good), forest.score(bad), good_cost))
+    limit = threshold(found.where("quality is not null").select("quality", "v").mapInArrow(score, "quality int, score double"), good_cost)
+    return Model() if limit is None else Model(forest, limit)
 
 
 def judge(docs: DataFrame, model: Model) -> DataFrame:

@@ -112,3 +112,25 @@ def test_repeated_ids_count_once_and_long_texts_are_read_whole(spark):
     got = {r["doc_id"]: r for r in quality.judge(more.where("doc_id >= 900"), model).collect()}
     assert got[900]["n_words"] == 550_000 and got[901]["n_symbols"] == 200_000
     assert model.threshold == quality.fit(more.union(docs.where("doc_id = 7")), labels).threshold
+
+
+def test_every_row_trains_or_calibrates(spark, monkeypatch):
+    """Of more documents than any bound, all without a label are in trees, and all labelled ones in the threshold."""
+    dealt, told, grown, threshold = [], [], quality.grown, quality.threshold
+    monkeypatch.setattr(quality, "grown", lambda sample, *a: dealt.append(sample.count()) or grown(sample, *a))
+    monkeypatch.setattr(quality, "threshold", lambda scores, cost: told.append(scores.count()) or threshold(scores, cost))
+    words = "concat_ws(' ', transform(sequence(1, 12), k -> concat('w', id * 13 + k, '.')))"
+    docs, labels = spark.range(20_000).selectExpr("id AS doc_id", f"{words} AS text"), spark.range(9_000).selectExpr("id AS doc_id", "cast(id % 10 > 0 AS int) AS quality")
+    model = quality.fit(docs, labels, trees=7)
+    assert dealt == [11_000] and told == [9_000] and model.forest.size == round(11_000 / 7)
+    again = quality.fit(docs.repartition(3), labels, trees=7)
+    assert again.threshold == model.threshold and all((x[1] == y[1]).all() for x, y in zip(model.forest.trees, again.forest.trees))
+
+
+def test_threshold_of_a_table_is_that_of_the_arrays(spark):
+    rng = np.random.default_rng(3)
+    for good, bad in ((rng.normal(0.4, 0.03, 700), rng.normal(0.5, 0.04, 90)), (np.round(rng.normal(0.4, 0.03, 300), 2), np.round(rng.normal(0.4, 0.04, 90), 2)), (np.array([0.3]), np.array([0.2, 0.2])), (rng.normal(0.4, 0.03, 51), np.zeros(0))):
+        table = spark.createDataFrame([(1, float(x)) for x in good] + [(0, float(x)) for x in bad], "quality int, score double")
+        for cost in (50.0, 0.5):
+            assert np.isclose(quality.threshold(table, cost), quality.calibrated(good, bad, cost), rtol=0, atol=1e-12)
+    assert quality.threshold(table.where("quality = 0"), 50.0) is None
