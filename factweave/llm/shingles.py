@@ -1,5 +1,7 @@
-"""Links between texts whose sets of word shingles are similar, by MinHash bands and an exact check.
+"""Links between texts whose sets of word shingles are similar, by SimHash, MinHash bands and an exact check.
 
+The caller's fingerprints propose pairs first; those of at most 2 of 64 bits reach
+few pairs of similarity 0.8, which differ in about 10, so bands propose the rest.
 A text's node is the hash of its words. ``BANDS`` bands of ``ROWS`` minima each
 propose pairs: two texts of similarity 0.8 share a band with probability
 1 - (1 - 0.8^5)^20 = 0.9996. Proposed pairs are compared by their exact Jaccard
@@ -18,6 +20,8 @@ shingle is one shingle; empty tables give no links.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -40,10 +44,15 @@ def node(words: list[bytes]) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def shingle_hashes(words: list[bytes], shingle_words: int) -> np.ndarray:
+    """Hashes of the shingles of lower-case ``words``, repeats included."""
+    h = xxhash.xxh64_intdigest
+    return np.array([h(b" ".join(words[i : i + shingle_words]), 42) for i in range(max(1, len(words) - shingle_words + 1))], np.uint64)
+
+
 def shingle_set(words: list[bytes], shingle_words: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles of lower-case ``words``."""
-    h = xxhash.xxh64_intdigest
-    return np.unique(np.array([h(b" ".join(words[i : i + shingle_words]), 42) for i in range(max(1, len(words) - shingle_words + 1))], np.uint64))
+    return np.unique(shingle_hashes(words, shingle_words))
 
 
 def bands(hashes: np.ndarray) -> tuple[list[int], list[int]]:
@@ -81,18 +90,23 @@ def _ordered(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def similar(keys: DataFrame, shingle_words: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """``fp, place`` (the least) of every distinct text of ``keys`` (``place, text``), and links ``a, b`` that connect what all links connect."""
+def similar(keys: DataFrame, shingle_words: int, similarity: float, fingerprint: Callable, text_pairs: Callable) -> tuple[DataFrame, DataFrame]:
+    """``fp, place`` (the least) of every distinct text of ``keys`` (``place, text``), and links ``a, b`` that connect what all links connect.
+
+    ``fingerprint`` makes a long of a text's shingle hashes, and ``text_pairs`` proposes pairs ``a, b`` of the texts ``node, simhash``.
+    """
 
     def run(batches):
         for batch in batches:
-            nodes, found = [], []
+            nodes, found, fps = [], [], []
             for text in batch.column(1):
                 words = (text.as_py() or b"").lower().split()
                 nodes.append(node(words))
-                found.append(bands(shingle_set(words, shingle_words)) if words else ([], []))
-            columns = [pa.array(nodes, pa.int64()), *(pa.array([x[k] for x in found], pa.list_(pa.int64())) for k in (0, 1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["place", "fp", "bands", "bits"])
+                hashes = shingle_hashes(words, shingle_words) if words else None
+                found.append(bands(np.unique(hashes)) if words else ([], []))
+                fps.append(fingerprint(hashes) if words else None)
+            columns = [pa.array(nodes, pa.int64()), *(pa.array([x[k] for x in found], pa.list_(pa.int64())) for k in (0, 1)), pa.array(fps, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["place", "fp", "bands", "bits", "simhash"])
 
     def sets_of(batches):
         for batch in batches:
@@ -100,8 +114,9 @@ def similar(keys: DataFrame, shingle_words: int, similarity: float) -> tuple[Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "set"])
 
     place = keys.schema["place"].dataType.simpleString()
-    rows = stash(keys.mapInArrow(run, f"place {place}, fp long, bands array<long>, bits array<long>"), "minima")
-    nodes = stash(rows.groupBy("fp").agg(F.min("place").alias("place"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "nodes")
+    rows = stash(keys.mapInArrow(run, f"place {place}, fp long, bands array<long>, bits array<long>, simhash long"), "minima")
+    nodes = stash(rows.groupBy("fp").agg(F.min("place").alias("place"), F.first("bands").alias("bands"), F.first("bits").alias("bits"), F.first("simhash").alias("simhash")), "nodes")
+    paired = stash(text_pairs(nodes.where("simhash is not null").select(F.col("fp").alias("node"), "simhash")).select(*_ordered("a", "b")), "paired")
     banded = nodes.select(F.col("fp").alias("node"), F.explode("bands").alias("band"))
     counts = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / PART).cast("int")
@@ -115,9 +130,9 @@ def similar(keys: DataFrame, shingle_words: int, similarity: float) -> tuple[Dat
     heads = Window.partitionBy("band").orderBy(F.col("met").desc(), "node")
     first = after.where("place = 1 and parts > 1").withColumn("next", F.lead("node", 1).over(heads)).withColumn("first", F.first("node").over(heads))
     met = after.unionByName(first).select("node", F.explode(F.array("next", "first")).alias("other")).where("other is not null and other <> node")
-    near = stash(met.select(*_ordered("node", "other")).distinct(), "near")
+    near = stash(met.select(*_ordered("node", "other")).unionByName(paired).distinct(), "near")
     # Texts of the nodes that meet others, each once.
-    wanted = shared.select("node").distinct().join(nodes.select(F.col("fp").alias("node"), "place"), "node")
+    wanted = shared.select("node").unionByName(paired.select(F.explode(F.array("a", "b")).alias("node"))).distinct().join(nodes.select(F.col("fp").alias("node"), "place"), "node")
     texts = keys.join(wanted, (F.col("text").isNotNull()) & keys["place"].eqNullSafe(wanted["place"]), "inner").select("node", "text")
     sets = stash(texts.mapInArrow(sets_of, "node long, set binary").dropDuplicates(["node"]), "sets")
     links = stash(_checked(near, sets, similarity), "links")

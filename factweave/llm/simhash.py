@@ -50,9 +50,14 @@ def fingerprint(text: bytes | None, shingle_words: int = 3) -> int:
         starts, ends = (ends - size)[: len(words) - shingle_words + 1].tolist(), ends[shingle_words - 1 :].tolist()
         h = xxhash.xxh64_intdigest
         hashes = [h(line[i:j], 42) for i, j in zip(starts, ends)]
+    return majority(np.array(hashes, np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of some hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
-        part = np.array(hashes[at : at + (1 << 16)], np.uint64)
+        part = hashes[at : at + (1 << 16)]
         ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     bits = np.packbits(2 * ones > len(hashes), bitorder="little")
     return int(bits.view("<u8")[0])
@@ -231,10 +236,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _text_pairs(texts: DataFrame) -> DataFrame:
+    """``a, b``: pairs of distinct texts ``node, simhash`` that connect those whose fingerprints differ in at most 2 bits."""
+    least = stash(texts.groupBy("simhash").agg(F.min("node").alias("least")), "fps")
+    copies = texts.join(least, "simhash").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    links = fingerprint_links(least.select(F.col("simhash").alias("fp")))
+    ends = [least.select(F.col("simhash").alias(k), F.col("least").alias(f"node_{k}")) for k in "ab"]
+    return copies.unionByName(links.join(ends[0], "a").join(ends[1], "b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+
+
 def one_of_each(docs: DataFrame, shingle_words: int = 3, similarity: float | None = None) -> DataFrame:
     """One row for each near-duplicate component of ``docs``, whatever the ids: that of the smallest doc_id, nulls last, then of the smallest row hash.
 
-    Links are those of at most 2 bits, or, where ``similarity`` is given, of at least that Jaccard similarity of the sets of shingles.
+    Links are those of at most 2 bits, or, where ``similarity`` is given, of at least that Jaccard similarity of the sets of shingles:
+    the pairs that fingerprints link are checked exactly, and so are those that ``shingles`` finds beyond the reach of 2 bits.
     """
     names = docs.columns
     work = docs.toDF(*(f"_{i}" for i in range(len(names))))
@@ -246,7 +261,7 @@ def one_of_each(docs: DataFrame, shingle_words: int = 3, similarity: float | Non
         nodes = stash(_placed(keys, shingle_words), "fps").groupBy("fp").agg(F.min("place").alias("place"))
         links = fingerprint_links(nodes)
     else:
-        nodes, links = shingles.similar(keys, shingle_words, similarity)
+        nodes, links = shingles.similar(keys, shingle_words, similarity, lambda hashes: _signed(majority(hashes)), _text_pairs)
     roots = components(links).select(F.col("node").alias("fp"), "root")
     first = nodes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("place").alias("place"))
     kept = work.join(first.select(F.col("place.doc_id").alias("kept_id"), F.col("place.row").alias("kept_row")), doc_id.eqNullSafe(F.col("kept_id")) & (F.col("row") == F.col("kept_row")), "left_semi")

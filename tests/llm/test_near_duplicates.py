@@ -154,3 +154,24 @@ def test_long_texts(spark):
     rows = [(0, " ".join(words), "x", None), (1, " ".join(words[:-1]), "x", None), (2, " ".join(words[:200_000]), "x", None)]
     docs = spark.createDataFrame(rows, DOCS)
     assert {r["doc_id"]: r["fp"] for r in simhash.near_duplicates(docs).collect()}[0] == simhash._signed(brute_fingerprint(rows[0][1]))
+
+
+def test_stage_links_by_fingerprints_and_checks_them(spark, monkeypatch):
+    """SimHash alone finds copies that differ little; what it proposes in error is not linked."""
+    import corpus_pipeline
+    from factweave.llm import shingles
+
+    body = [f"w{i}" for i in range(4000)]
+    rows = [(1, " ".join(body)), (2, " ".join([*body[:2000], "x", *body[2001:]])), (3, "quite another text of some words"), (4, " ".join(body).upper()), (5, None), (6, " ")]
+    seen, links = [], simhash.fingerprint_links
+    monkeypatch.setattr(simhash, "fingerprint_links", lambda d: seen.append(d.count()) or links(d))
+    hashes = [shingles.shingle_hashes(t.lower().encode().split(), 5) for _, t in rows[:2]]
+    assert bin(simhash.majority(hashes[0]) ^ simhash.majority(hashes[1])).count("1") <= 2 and simhash.majority(hashes[0]) == simhash.fingerprint(rows[0][1].encode(), 5)
+    docs = spark.createDataFrame([(i, t, "x", None) for i, t in rows], DOCS)
+    kept = lambda: sorted(r[0] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    majority = simhash.majority
+    monkeypatch.setattr(simhash, "majority", lambda hashes: 0)
+    assert kept() == [1, 3, 5]
+    monkeypatch.setattr(simhash, "majority", majority)
+    monkeypatch.setattr(shingles, "bands", lambda hashes: ([], []))
+    assert kept() == [1, 3, 5] and len(seen) == 2
