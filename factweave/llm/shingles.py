@@ -8,11 +8,18 @@ propose pairs: two texts of similarity 0.8 share a band with probability
 similarity, but not all of them. Each text is first compared with the text of its
 band that shares most bands with others, as the origin of copies does, and with
 the next in that order. Then come the pairs of a band that are not yet in one
-component, without those of which fewer than ``ALIKE`` of 448 bits, one of each of
-as many minima, agree (of texts of similarity 0.8 on average 403 do, with a
-deviation of 6.4). So large groups of copies need few comparisons, and no link
-between components is missed. A band of many texts is dealt to parts of at most
-about ``PART`` texts, which meet in blocks.
+component. In a band of at most ``LARGE`` texts all of them do, without those of
+which fewer than ``ALIKE`` of 448 bits, one of each of as many minima, agree (of
+texts of similarity 0.8 on average 403 do, with a deviation of 6.4). In a larger
+one, texts are described by the shingles in which they differ from one text of the
+band, the pivot. Two texts that are similar, of which one is not similar to the
+pivot, have many of these differences in common, so they share one of their rarest;
+only such pairs are compared, first those of neighbours among the texts with the
+same difference, then all that are left. No similar pair is lost by this, and
+copies that were edited independently hardly share rare differences, so their
+comparisons grow with their number and not with its square. A band of many texts is
+dealt to parts of at most about ``PART`` texts, which meet in blocks if it is a
+small one.
 
 Cases: null and blank texts share node 0 and no band; a text shorter than a
 shingle is one shingle; empty tables give no links.
@@ -33,6 +40,8 @@ from factweave.llm.components import components
 
 BANDS, ROWS = 20, 5
 MINIMA, ALIKE, PART = 448, 382, 4096
+#: A band of more texts compares no longer all of its pairs. What rounding may change in weights.
+LARGE, SLACK = 64, 1e-6
 #: Factors (odd) and summands of the minima's hash functions, from a fixed seed.
 _DRAWN = np.random.default_rng(20).integers(0, 1 << 63, (2, MINIMA, 1), dtype=np.uint64)
 FACTORS, SUMMANDS = _DRAWN[0] << np.uint64(1) | np.uint64(1), _DRAWN[1]
@@ -90,6 +99,74 @@ def _ordered(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _ranked(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """For each of ``members`` (``pivot, node``) the hashes that one of both has and the other has not, if more members of the pivot differ in them.
+
+    Two sets are similar enough if they differ in at most ``u (|x| + |y|)`` hashes, ``u = (1 - s) / (1 + s)``. They differ in those in which just
+    one of them differs from the pivot, so it takes ``weight(x) + weight(y)`` over 2 common differences, ``weight(x) = |difference(x)| - u |x|``;
+    ``edge`` is the greatest weight of a text that is similar enough to the pivot itself. ``rest`` counts a text's differences from this one on,
+    the rarest first: two texts have no more in common than what is left of both at the first that they share.
+    """
+    u = (1 - similarity) / (1 + similarity)
+
+    def run(batches):
+        for batch in batches:
+            pivots, members, x, y = batch.columns
+            found, size, weights, edges = [], [], [], []
+            for k in range(len(batch)):
+                own, other = np.frombuffer(x[k].as_py(), np.uint64), np.frombuffer(y[k].as_py(), np.uint64)
+                apart = np.setxor1d(own, other, assume_unique=True).view(np.int64)
+                found.append(apart)
+                size.append(len(apart))
+                weights.append(len(apart) - u * len(own))
+                edges.append(u * len(other))
+            if found:
+                at = np.repeat(np.arange(len(size)), size)
+                out = [pa.array(np.array(c)[at]) for c in (pivots.to_numpy(), members.to_numpy(), weights, edges)] + [pa.array(np.concatenate(found))]
+                for k in range(0, len(at), 100_000):
+                    yield pa.RecordBatch.from_arrays([c.slice(k, 100_000) for c in out], ["pivot", "node", "weight", "edge", "element"])
+
+    texts, of_pivots = sets.select("node", F.col("set").alias("x")), sets.select(F.col("node").alias("pivot"), F.col("set").alias("y"))
+    # A pivot may have many members, and a member as many rows as differences; members are dealt evenly.
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = members.join(texts, "node").join(of_pivots, "pivot").select("pivot", "node", "x", "y").repartition(parts)
+    apart = stash(both.mapInArrow(run, "pivot long, node long, weight double, edge double, element long"), "apart")
+    common = apart.groupBy("pivot", "element").agg(F.count("*").alias("n")).where("n > 1")
+    order = Window.partitionBy("pivot", "node").orderBy(F.col("n").desc(), F.col("element").desc())
+    ranked = apart.join(common, ["pivot", "element"]).withColumn("rest", F.row_number().over(order)).drop("n")
+    # What a text must have in common at least with any other: one of a lower weight may be the pivot, and of two that are not linked yet one is beyond the edge.
+    return ranked.where(F.col("rest") >= (F.col("weight") - F.col("edge")) / 2 - SLACK).withColumn("short", F.col("rest") >= (F.col("weight") + F.greatest("weight", "edge")) / 2 - SLACK)
+
+
+def _enough(one: dict, other: dict):
+    """Whether two texts may have as much in common as it takes."""
+    return F.least(one["rest"], other["rest"]) >= (one["weight"] + other["weight"]) / 2 - SLACK
+
+
+def _rooted(ranked: DataFrame, roots: DataFrame) -> DataFrame:
+    return ranked.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _chained(ranked: DataFrame, roots: DataFrame) -> DataFrame:
+    """``a, b``: of the texts with a difference in common, each with the next one, so that large groups become one component by few pairs."""
+    order = Window.partitionBy("pivot", "element").orderBy("weight", "node")
+    fields = ["node", "weight", "rest", "root"]
+    pairs = _rooted(ranked, roots).withColumn("next", F.lead(F.struct(*fields)).over(order)).where("next is not null and short")
+    pairs = pairs.where((F.col("root") != F.col("next.root")) & _enough({k: F.col(k) for k in fields}, {k: F.col(f"next.{k}") for k in fields}))
+    return pairs.select(*_ordered(F.col("node"), F.col("next.node"))).distinct()
+
+
+def _allowed(ranked: DataFrame, roots: DataFrame) -> DataFrame:
+    """``a, b``: all pairs of different components that may have enough in common."""
+    rooted = _rooted(ranked, roots)
+    fields = ["node", "weight", "rest", "root"]
+    light, heavy = (rooted.select("pivot", "element", "short", *(F.col(k).alias(f"{k}_{side}") for k in fields)) for side in "xy")
+    x, y = ({k: F.col(f"{k}_{side}") for k in fields} for side in "xy")
+    lighter = (x["weight"] < y["weight"]) | (x["weight"] == y["weight"]) & (x["node"] < y["node"])
+    pairs = light.where("short").drop("short").join(heavy.drop("short"), ["pivot", "element"]).where(lighter & (x["root"] != y["root"]) & _enough(x, y))
+    return pairs.select(*_ordered(x["node"], y["node"])).distinct()
+
+
 def similar(keys: DataFrame, shingle_words: int, similarity: float, fingerprint: Callable, text_pairs: Callable) -> tuple[DataFrame, DataFrame]:
     """``fp, place`` (the least) of every distinct text of ``keys`` (``place, text``), and links ``a, b`` that connect what all links connect.
 
@@ -124,27 +201,36 @@ def similar(keys: DataFrame, shingle_words: int, similarity: float, fingerprint:
     shared = stash(shared, "shared")
     # How many texts a text meets, all bands together: the origin of many copies meets most.
     popular = shared.groupBy("node").agg(F.sum("n").alias("met"))
-    ranked = shared.select("node", "band", "part", "parts").join(popular, "node")
+    ranked = shared.select("node", "band", "n", "part", "parts").join(popular, "node")
     order = Window.partitionBy("band", "part").orderBy(F.col("met").desc(), "node")
     after = ranked.withColumn("next", F.lead("node", 1).over(order)).withColumn("first", F.first("node").over(order)).withColumn("place", F.row_number().over(order))
     heads = Window.partitionBy("band").orderBy(F.col("met").desc(), "node")
     first = after.where("place = 1 and parts > 1").withColumn("next", F.lead("node", 1).over(heads)).withColumn("first", F.first("node").over(heads))
     met = after.unionByName(first).select("node", F.explode(F.array("next", "first")).alias("other")).where("other is not null and other <> node")
+    # All texts of a large band meet one of it, its pivot.
+    large = ranked.where(F.col("n") > LARGE)
+    pivots = stash(large.groupBy("band").agg(F.min_by("node", F.struct(-F.col("met"), "node")).alias("pivot")), "pivots")
+    met = met.unionByName(large.join(pivots, "band").where("node <> pivot").select("node", F.col("pivot").alias("other")))
     near = stash(met.select(*_ordered("node", "other")).unionByName(paired).distinct(), "near")
     # Texts of the nodes that meet others, each once.
     wanted = shared.select("node").unionByName(paired.select(F.explode(F.array("a", "b")).alias("node"))).distinct().join(nodes.select(F.col("fp").alias("node"), "place"), "node")
     texts = keys.join(wanted, (F.col("text").isNotNull()) & keys["place"].eqNullSafe(wanted["place"]), "inner").select("node", "text")
     sets = stash(texts.mapInArrow(sets_of, "node long, set binary").dropDuplicates(["node"]), "sets")
     links = stash(_checked(near, sets, similarity), "links")
-    # All pairs of a band that are in different components so far, part by part.
+    # The pairs of a band that are in different components so far: of small bands all of them, of large ones those that their differences allow.
     roots = components(links)
     named = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = named.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
     named = stash(named.join(split, "band").join(nodes.select(F.col("fp").alias("node"), "bits", "bands"), "node"), "split")
-    other = named.select("band", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("bits").alias("other_bits"), F.col("bands").alias("other_bands"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    members = named.where(F.col("n") > LARGE).join(pivots, "band").select("pivot", "node").distinct()
+    ranked = stash(_ranked(members, sets, similarity), "ranked")
+    chained = stash(_checked(_chained(ranked, roots).join(near, ["a", "b"], "left_anti"), sets, similarity), "links")
+    links = links.unionByName(chained)
+    few = named.where(F.col("n") <= LARGE)
+    other = few.select("band", F.col("node").alias("other"), F.col("root").alias("other_root"), F.col("bits").alias("other_bits"), F.col("bands").alias("other_bands"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     alike = F.lit(MINIMA) - sum(F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("other_bits")[k])) for k in range(MINIMA // 64))
     # A pair that shares several bands is proposed by the least of them.
     once = F.array_min(F.array_intersect("bands", "other_bands")) == F.col("band")
-    rest = named.join(other, ["band", "part"]).where((F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root")) & (alike >= ALIKE) & once)
-    rest = rest.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct().join(near, ["a", "b"], "left_anti")
+    rest = few.join(other, ["band", "part"]).where((F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root")) & (alike >= ALIKE) & once)
+    rest = rest.select(F.col("node").alias("a"), F.col("other").alias("b")).unionByName(_allowed(ranked, components(links))).distinct().join(near, ["a", "b"], "left_anti")
     return nodes.select("fp", "place"), links.unionByName(stash(_checked(rest, sets, similarity), "links"))

@@ -175,3 +175,55 @@ def test_stage_links_by_fingerprints_and_checks_them(spark, monkeypatch):
     monkeypatch.setattr(simhash, "majority", majority)
     monkeypatch.setattr(shingles, "bands", lambda hashes: ([], []))
     assert kept() == [1, 3, 5] and len(seen) == 2
+
+
+def copies(seed, n, most, name, words=150):
+    """Texts that differ from one origin in up to ``most`` words each: replaced, inserted or left out."""
+    r = random.Random(seed)
+    origin = [f"{name}{r.randrange(3000)}" for _ in range(words)]
+    rows = []
+    for _ in range(n):
+        copy = list(origin)
+        for k in range(r.randrange(most + 1)):
+            at = r.randrange(len(copy))
+            copy[at : at + r.choice((1, 1, 1, 0))] = r.choice(([f"x{r.randrange(10**6)}"],) * 3 + ([],))
+        rows.append(" ".join(copy))
+    return rows
+
+
+def test_large_groups_of_near_copies_take_few_comparisons_and_lose_no_link(spark, monkeypatch):
+    """Pairs that are compared grow with the texts, not with the square of a group; what is linked equals brute force."""
+    import corpus_pipeline
+    from factweave.llm import shingles
+
+    # One loose group; and one that two tight families make, apart from each other.
+    texts = copies(1, 400, 8, "w")
+    base = copies(2, 1, 0, "v")[0].split()
+    for k, step in enumerate((1000, 9)):
+        family = [f"f{k}-{i}" if i % step == 0 else w for i, w in enumerate(base)]
+        texts += [" ".join([*family[: n + 1], f"y{k}-{n}", *family[n + 2 :]]) for n in range(100)]
+    rows = list(enumerate(texts))
+    sets = {i: five(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = set(reachable(links, sets).values())
+    assert len(want) > 100 and len(links) > 5000
+    docs = spark.createDataFrame([(i, t, "x", None) for i, t in rows], DOCS)
+    compared, checked = [], shingles._checked
+    monkeypatch.setattr(shingles, "_checked", lambda pairs, *a: compared.append(pairs.count()) or checked(pairs, *a))
+    assert {r[0] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == want
+    assert sum(compared) < 10 * len(rows)
+
+
+def test_differences_from_pivots_find_what_all_pairs_find(spark, monkeypatch):
+    """With every band a large one, in parts or not, the links are those of brute force."""
+    import corpus_pipeline
+    from factweave.llm import shingles
+
+    rows = planted(7) + list(enumerate(copies(3, 120, 10, "w", 60), 5000))
+    sets = {i: five(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame([(i, t, "x", None) for i, t in rows], DOCS)
+    monkeypatch.setattr(shingles, "LARGE", 1)
+    for part in (shingles.PART, 3):
+        monkeypatch.setattr(shingles, "PART", part)
+        assert {r[0] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == set(reachable(links, sets).values())
